@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions.durations import micros
@@ -26,7 +26,7 @@ def local_batches(df: DataFrame, size: int, name: str = "batch_id") -> DataFrame
     row = F.monotonically_increasing_id()
     partition = F.shiftright(row, 33)
     within = row.bitwiseAND(F.lit((1 << 33) - 1))
-    return df.withColumn(name, F.shiftleft(partition, 33) + F.floor(within / F.lit(size)).cast("bigint"))
+    return df.withColumn(name, F.shiftleft(partition, 33) + _whole(within, size))
 
 
 def number_rows(df: DataFrame, seq: str, name: str = "row_no", rows_per_range: int = 1_000_000) -> DataFrame:
@@ -43,8 +43,9 @@ def number_rows(df: DataFrame, seq: str, name: str = "row_no", rows_per_range: i
     if cuts:
         splits = [float("-inf"), *cuts, float("inf")]
         ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range").transform(ranged)
+        ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
     else:
-        ranged = ranged.withColumn("_range", F.lit(0.0))
+        ranged = ranged.withColumn("_range", F.lit(0))
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # one row per range, at most MAX_RANGES
@@ -80,4 +81,9 @@ def batch_ids(df: DataFrame, size: int, seq: str, name: str = "batch_id", **opti
     if size < 1:
         raise ValueError("size must be positive")
     numbered = number_rows(df, seq, "_number", **options)
-    return numbered.withColumn(name, F.floor(F.col("_number") / F.lit(size)).cast("bigint")).drop("_number")
+    return numbered.withColumn(name, _whole(F.col("_number"), size)).drop("_number")
+
+
+def _whole(number: Column, size: int) -> Column:
+    """Integer division, exact for any row number."""
+    return F.call_function("div", number, F.lit(size).cast("bigint"))

@@ -14,18 +14,19 @@ from meterflow.functions.values import b64, b64url, literal, truthy
 ENCODERS = {"b64": b64, "b64url": b64url}
 
 
-def unique_by(dim: DataFrame, key: str) -> DataFrame:
-    """``dim`` as ``_key, _doc``; a key occurring twice fails the job instead of doubling rows.
+def keyed_documents(dim: DataFrame, key: str) -> DataFrame:
+    """``dim`` as ``_lookup, _doc``; a key occurring twice fails the job instead of doubling rows.
 
-    The grouping leaves the table partitioned and sorted by key, which a sort-merge join with the
-    metrics reuses.
+    The check is a subquery over the key column alone, so the join below still sees a plain table:
+    Spark can broadcast it by its size, or split skewed partitions of a shuffled join.
     """
+    keys = dim.select(column((key,)).alias("k")).where("k IS NOT NULL")
+    twice = keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
+    example = twice.agg(F.min(F.col("k").cast("string"))).scalar()
+    duplicate = F.raise_error(F.concat(F.lit("duplicate lookup key "), example)).cast("boolean")
     fields = [column((c,)).alias(c) for c in dim.columns if c != key]
-    docs = dim.where(column((key,)).isNotNull()).groupBy(column((key,)).alias("_key")).agg(
-        F.count("*").alias("_n"), F.first(F.struct(*fields)).alias("_doc")
-    )
-    duplicate = F.raise_error(F.concat(F.lit("duplicate lookup key "), F.col("_key").cast("string")))
-    return docs.where(F.when(F.col("_n") > 1, duplicate.cast("boolean")).otherwise(True)).drop("_n")
+    docs = dim.where(F.when(example.isNotNull(), duplicate).otherwise(True))
+    return docs.select(column((key,)).alias("_lookup"), F.struct(*fields).alias("_doc"))
 
 
 def enrich(
@@ -55,11 +56,9 @@ def enrich(
     value, dtype = frame.field(df, key, sep)
     if encode:
         value = ENCODERS[encode](value.cast("string"))
-    docs = unique_by(dim, dim_key)
-    schema: T.StructType = docs.schema["_doc"].dataType
-    # a metric-field key that other rows lack is null there, hence no match
+    right = keyed_documents(dim, dim_key)
+    schema: T.StructType = right.schema["_doc"].dataType
     left, on = df.withColumn("_lookup", value), ["_lookup"]
-    right = docs.withColumnRenamed("_key", "_lookup")
     if salts > 1:
         spread = F.xxhash64(*[column((c,)) for c in df.columns])
         left = left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))

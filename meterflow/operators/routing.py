@@ -49,9 +49,15 @@ class Route:
                 return False
         return True
 
-    def condition(self, task: Column, input_name: Column) -> Column:
-        """The same decision per row, for tables holding many tasks."""
-        columns = {"task": F.lower(task), "input": F.lower(input_name)}
+    def condition(self, task: Column, input_name: Column, lowered: bool = False) -> Column:
+        """The same decision per row, for tables holding many tasks.
+
+        ``lowered`` promises lower-case names, as flows write them; exact names and prefixes are
+        then pushed down to the scan.
+        """
+        columns = {"task": task, "input": input_name}
+        if not lowered:
+            columns = {side: F.lower(c) for side, c in columns.items()}
         test = F.lit(True)
         for side, include, exclude in self._sides():
             if include is not None:
@@ -65,9 +71,11 @@ class Route:
         return [(s, p) for s, inc, exc in self._sides() for p in (*(inc or ()), *(exc or ()))]
 
 
-def route(df: DataFrame, task: str = frame.TASK, input_name: str = frame.INPUT, **patterns: Names) -> DataFrame:
+def route(
+    df: DataFrame, task: str = frame.TASK, input_name: str = frame.INPUT, lowered: bool = False, **patterns: Names
+) -> DataFrame:
     """Rows of a multi-task frame accepted by the patterns of a ``Route``."""
-    return df.where(Route(**patterns).condition(F.col(task), F.col(input_name)))
+    return df.where(Route(**patterns).condition(F.col(task), F.col(input_name), lowered))
 
 
 def unmatched_routes(

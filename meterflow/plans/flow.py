@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,7 +31,7 @@ class Modifiers:
 
 @dataclass(frozen=True)
 class Task:
-    """A source and how its records become metrics."""
+    """A source and how its records become metrics; names are kept in lower case."""
 
     name: str
     source: Callable[[SparkSession], DataFrame] | DataFrame
@@ -46,6 +46,10 @@ class Task:
     modifiers: Modifiers = Modifiers()
     enabled: bool = True
 
+    def __post_init__(self):
+        object.__setattr__(self, "name", self.name.lower())
+        object.__setattr__(self, "input_name", self.input_name.lower())
+
     def frame(self, records: DataFrame) -> DataFrame:
         """Metric frame of these records."""
         df = to_metrics(
@@ -87,8 +91,11 @@ class Flow:
     transforms: Sequence[Transform] = ()
     outputs: Sequence[Output] = ()
     disable_outputs: bool = False
+    task_prefix: str = ""
 
     def __post_init__(self):
+        named = [replace(t, name=self.task_prefix + t.name) for t in self.tasks]
+        object.__setattr__(self, "tasks", named)
         names = [t.name for t in self.tasks]
         if len(names) != len(set(names)):
             raise ValueError("task names must be unique")

@@ -52,19 +52,11 @@ def array_batches(spark, sf):
 
 
 @query("batch_ids", """
-SELECT l_orderkey, l_linenumber, l_partkey, seq,
-  CAST((row_number() OVER (ORDER BY seq) - 1) // 2000 AS BIGINT) AS batch_id FROM (
-  SELECT DISTINCT o.o_orderkey AS l_orderkey, l.l_linenumber, l.l_partkey,
-    (o.o_orderkey * 8 + l.l_linenumber) * 1000000 + l.l_partkey AS seq
-  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT o_orderkey, o_totalprice, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 2000 AS BIGINT) AS batch_id FROM orders
 """)
 def batches_in_order(spark, sf):
-    items = table(spark, sf, "lineitem").join(
-        table(spark, sf, "orders").select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"), "left_semi"
-    )
-    seq = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * 1_000_000 + F.col("l_partkey")
-    rows = items.select("l_orderkey", "l_linenumber", "l_partkey", seq.alias("seq")).distinct()
-    return batch_ids(rows, 2000, "seq", rows_per_range=20_000)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    return batch_ids(orders, 2000, "o_orderkey", rows_per_range=10_000)
 
 
 @query("batch_sizes", "SELECT COUNT(*) AS n_rows, true AS within_limit, true AS enough_batches FROM lineitem")
@@ -102,6 +94,22 @@ def envelope_fields(spark, sf):
     return sent.select("seq", got.alias("e")).select("seq", "e.producer", "e.type", "e.timestamp", "e.data.*")
 
 
+@query("envelope_multi_field", """
+WITH m AS (SELECT o_orderkey, 'm' || x AS f, x, o_orderstatus FROM orders, (SELECT unnest(range(0, 6)) AS x))
+SELECT o_orderkey AS seq, '{"data":{"' || f || '":' || (o_orderkey + x) || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus
+  || '"},"environment":"default","producer":"shop","timestamp":0.250000,"type":"orders","type_prefix":"raw"}' AS value FROM m
+""")
+def envelope_multi_field(spark, sf):
+    """More metric fields than typed branches: the name of the field is data."""
+    wide = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderstatus", *[(F.col("o_orderkey") + i).alias(f"m{i}") for i in range(6)]
+    ).withColumn("order", F.col("o_orderkey"))
+    frame = to_metrics(
+        wide, "orders", "m?", ["o_orderkey", "o_orderstatus"], ts=F.timestamp_seconds(F.lit(0.25)), seq="order"
+    )
+    return envelope(frame, "shop")
+
+
 @query("index_documents", r"""
 SELECT event_id AS seq, '{"user_id":' || user_id || ',"event_type":"' || event_type || '","props":"'
   || replace(props, '"', '\"') || '","at":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS value FROM events

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
@@ -16,24 +16,53 @@ from meterflow.operators.timeops import epoch_micros
 _JSON = {"ignoreNullFields": "false"}
 
 
+# more metric fields than this are written through the general path only
+MAX_TYPED_FIELDS = 4
+
+
+def per_field(df: DataFrame, typed: Callable[[str], Column], general: Column) -> Column:
+    """One branch per metric field the plan knows, where the record is an ordinary struct, and a
+    general expression for rows with any other field. A constant field leaves a single branch.
+    """
+    fields = frame.metric_fields(df)
+    if not 0 < len(fields) <= MAX_TYPED_FIELDS:
+        return general
+    branches = F
+    for name in fields:
+        branches = branches.when(F.col(frame.FIELD) == name, typed(name))
+    return branches.otherwise(general)
+
+
 def flat_json(df: DataFrame, extra: Mapping[str, Column] | None = None, sep: str = ".", max_array: int = 0) -> Column:
     """Flat record of each row as JSON text: the metric under its field's name, then the attributes.
 
-    The name of the metric differs per row, so it is joined to the attributes as text. Tables
-    without the frame layout give their flattened columns.
+    Tables without the frame layout give their flattened columns.
     """
     if not frame.is_frame(df):
-        flat = flat_columns(df.schema, sep, max_array) | dict(extra or {})
-        return F.to_json(F.struct(*[c.alias(n) for n, c in flat.items()]), _JSON)
+        return _json(flat_columns(df.schema, sep, max_array) | dict(extra or {}))
     flat = flat_view(df, sep, max_array) | dict(extra or {})
+    return per_field(df, lambda name: _json({name: F.col(frame.METRIC)} | flat), _joined(flat))
+
+
+def _joined(flat: Mapping[str, Column]) -> Column:
+    """Record of a metric whose field name is only known per row, joined as text."""
     own = F.to_json(F.create_map(F.col(frame.FIELD), F.col(frame.METRIC)), _JSON)
     if not flat:
         return F.when(F.col(frame.FIELD).isNull(), "{}").otherwise(own)
-    rest = F.to_json(F.struct(*[c.alias(n) for n, c in flat.items()]), _JSON)
-    both = F.concat(F.substring(own, F.lit(1), F.length(own) - 1), F.lit(","), F.substr(rest, F.lit(2)))
+    rest = _json(flat)
+    # the value is a number, boolean or text, so a single brace ends the metric's own object
+    both = F.concat(F.rtrim(own, F.lit("}")), F.lit(","), F.substr(rest, F.lit(2)))
     return F.when(F.col(frame.FIELD).isNull(), rest).otherwise(both)
 
 
+def _json(fields: Mapping[str, Column]) -> Column:
+    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), _JSON)
+
+
+def _sorted(fields: Mapping[str, Column]) -> dict[str, Column]:
+    return {k: fields[k] for k in sorted(fields)}
+
+
 def json_lines(df: DataFrame, width: int | None = None, sep: str = ".", max_array: int = 0) -> DataFrame:
     """One JSON text per row in ``value``; longer than ``width`` characters is cut with ``...``."""
     line = flat_json(df, sep=sep, max_array=max_array)
@@ -66,20 +95,28 @@ def envelope(
     """One envelope per metric as JSON text with sorted keys, in ``value``.
 
     The flat record is under ``data``; ``static`` keys replace envelope keys of the same name.
-    ``name_field`` adds the name of the metric field to the record. Object keys of the variant
-    type are kept in order of their names, which sorts the record.
+    ``name_field`` adds the name of the metric field to the record. Where the field name is only
+    known per row, the record passes through the variant type, which orders keys by name.
     """
-    extra = {name_field: F.col(frame.FIELD)} if name_field else {}
-    seconds = epoch_micros(F.col(frame.TS), df.schema[frame.TS].dataType).cast(T.DecimalType(20, 0)) / F.lit(1_000_000)
-    fields = {
+    flat = flat_view(df, sep, max_array) | ({name_field: F.col(frame.FIELD)} if name_field else {})
+    micros = epoch_micros(F.col(frame.TS), df.schema[frame.TS].dataType)
+    outer = {
         "producer": F.lit(producer),
         "type": F.col(frame.TASK),
         "type_prefix": F.lit(prefix),
         "environment": F.lit(environment),
-        "timestamp": seconds.cast(T.DecimalType(20, 6)),
-        "data": F.parse_json(flat_json(df, extra, sep, max_array)),
-    } | {k: literal(v) for k, v in (static or {}).items()}
-    value = F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), _JSON)
+        "timestamp": (micros.cast(T.DecimalType(20, 0)) / F.lit(1_000_000)).cast(T.DecimalType(20, 6)),
+    }
+    fixed = {k: literal(v) for k, v in (static or {}).items()}
+
+    def text(data: Column) -> Column:
+        return _json(_sorted(outer | {"data": data} | fixed))
+
+    def typed(name: str) -> Column:
+        fields = _sorted({name: F.col(frame.METRIC)} | flat)
+        return text(F.struct(*[c.alias(n) for n, c in fields.items()]))
+
+    value = per_field(df, typed, text(F.parse_json(_joined(flat))))
     order = [frame.SEQ] if frame.SEQ in df.columns else []
     return df.select(*order, value.alias("value"))
 

@@ -55,6 +55,17 @@ def is_attribute(df: DataFrame, name: str, sep: str = ".") -> bool:
     return is_frame(df) and find(attribute_schema(df), name, sep) is not None
 
 
+def current(df: DataFrame, name: str, sep: str = ".") -> tuple[Column, T.DataType]:
+    """What ``set_field`` would replace: the field's value, or null where there is no such field."""
+    if is_frame(df):
+        exists = name == METRIC or is_attribute(df, name, sep)
+        if not exists and name in metric_fields(df):
+            return F.when(F.col(FIELD) == name, F.col(METRIC)), df.schema[METRIC].dataType
+    else:
+        exists = find(df.schema, name, sep) is not None
+    return field(df, name, sep) if exists else (F.lit(None), T.NullType())
+
+
 def set_field(df: DataFrame, name: str, value: Column, sep: str = ".") -> DataFrame:
     """Write a value to the metric or to a nested path; only the last part may be new.
 

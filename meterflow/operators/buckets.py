@@ -113,8 +113,10 @@ def bucket_agg(
         return _filters_last(df, levels, metrics)
 
     keyed, hit = df, None
-    for level in levels:
-        if isinstance(level, Filters):
+    for depth, level in enumerate(levels):
+        if isinstance(level, Filters) and keep_empty and depth == 0:
+            keyed, hit = _with_blank_filters(keyed, level)
+        elif isinstance(level, Filters):
             keyed, hit = _explode_filters(keyed, level, keep_empty, hit)
         else:
             keyed = keyed.withColumn(level.name, _key(df, level))
@@ -145,7 +147,6 @@ def _with_empty(keyed: DataFrame, levels: Sequence[Level], metrics: Mapping[str,
     keyed = keyed.where(F.col(quote(names[0])).isNotNull())
     keys = [F.col(quote(n)) for n in names]
     sets = [keys[: depth + 1] for depth in range(len(keys))]
-    children = [F.count(F.col(quote(n))).alias(f"_children_{i}") for i, n in enumerate(names)]
     # grouping sets null out their own keys, so children are counted on copies
     for i, n in enumerate(names):
         keyed = keyed.withColumn(f"_key_{i}", F.col(quote(n)))
@@ -166,6 +167,15 @@ def _with_empty(keyed: DataFrame, levels: Sequence[Level], metrics: Mapping[str,
     return grouped.where(keep)
 
 
+def _with_blank_filters(df: DataFrame, level: Filters) -> tuple[DataFrame, Column]:
+    """One row per matched filter, plus one blank row per declared name to keep names without hits."""
+    matched, _ = _explode_filters(df, level, False, None)
+    blank = df.sparkSession.createDataFrame([(n, False) for n in level.filters], T.StructType([
+        T.StructField(level.name, T.StringType()), T.StructField("_hit", T.BooleanType()),
+    ]))
+    return matched.withColumn("_hit", F.lit(True)).unionByName(blank, allowMissingColumns=True), F.col("_hit")
+
+
 def _explode_filters(df: DataFrame, level: Filters, keep_empty: bool, hit: Column | None) -> tuple[DataFrame, Column | None]:
     tests = {n: F.coalesce(F.expr(c) if isinstance(c, str) else c, F.lit(False)) for n, c in level.filters.items()}
     if not keep_empty:

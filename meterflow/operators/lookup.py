@@ -21,11 +21,10 @@ def keyed_documents(dim: DataFrame, key: str) -> DataFrame:
     Spark can broadcast it by its size, or split skewed partitions of a shuffled join.
     """
     keys = dim.select(column((key,)).alias("k")).where("k IS NOT NULL")
-    twice = keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-    example = twice.agg(F.min(F.col("k").cast("string"))).scalar()
-    duplicate = F.raise_error(F.concat(F.lit("duplicate lookup key "), example)).cast("boolean")
+    twice = keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*")).scalar()
+    duplicate = F.raise_error(F.lit(f"lookup key {key} is not unique")).cast("boolean")
     fields = [column((c,)).alias(c) for c in dim.columns if c != key]
-    docs = dim.where(F.when(example.isNotNull(), duplicate).otherwise(True))
+    docs = dim.where(F.when(twice > 0, duplicate).otherwise(True))
     return docs.select(column((key,)).alias("_lookup"), F.struct(*fields).alias("_doc"))
 
 

@@ -147,12 +147,11 @@ def _shown(value: Column, dtype: T.DataType, vtype: T.DataType | None) -> Column
 
 
 def _current(df: DataFrame, target: str, vtype: T.DataType | None, sep: str) -> Column:
-    """Value the result field already has, null where there is no such field."""
-    try:
-        value, dtype = frame.field(df, target, sep)
-    except ValueError:
-        return F.lit(None)
-    return _shown(value, dtype, _least_common(vtype, dtype) if vtype is not None else None)
+    """Value the result field already has, as text where the mapped values are."""
+    value, dtype = frame.current(df, target, sep)
+    if vtype is None or isinstance(dtype, T.NullType):
+        return value
+    return _shown(value, dtype, _least_common(vtype, dtype))
 
 
 def _join(df, mapping, looked_up, target, original, default, missing, within, sep) -> DataFrame:

@@ -22,7 +22,7 @@ def transform_rows(
     for name, value in values.items():
         value = F.expr(value) if isinstance(value, str) else value
         if within is not None:
-            value = F.when(within, value).otherwise(frame.field(df, name, sep)[0])
+            value = F.when(within, value).otherwise(frame.current(df, name, sep)[0])
         df = frame.set_field(df, name, value, sep)
     return df
 

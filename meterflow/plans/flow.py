@@ -31,7 +31,11 @@ class Modifiers:
 
 @dataclass(frozen=True)
 class Task:
-    """A source and how its records become metrics; names are kept in lower case."""
+    """A source and how its records become metrics; names are kept in lower case.
+
+    ``skip_empty`` looks for a first record before anything is sent; switch it off where reaching
+    the first record costs as much as the whole source.
+    """
 
     name: str
     source: Callable[[SparkSession], DataFrame] | DataFrame
@@ -45,6 +49,7 @@ class Task:
     drop_absent: bool = False
     modifiers: Modifiers = Modifiers()
     enabled: bool = True
+    skip_empty: bool = True
 
     def __post_init__(self):
         object.__setattr__(self, "name", self.name.lower())
@@ -127,17 +132,18 @@ class Flow:
     def deliver(self, task: Task, records: DataFrame, run: str) -> str:
         """Send one task's metrics to every accepting output under a run key.
 
-        Repeating a run key replaces what it wrote before. An empty input is skipped. The frame is
-        kept between outputs only if there are several; losing it merely recomputes it.
+        Repeating a run key replaces what it wrote before. A task without records is skipped. The
+        frame is kept between outputs only if there are several; losing it merely recomputes it.
         """
-        if records.isEmpty():
-            return SKIPPED
         outputs = self.sinks(task)
         df = self.plan(task, records)
         shared = len(outputs) > 1
         if shared:
             df = df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # a kept frame with rows proves the source had some, without reading it again
+            if task.skip_empty and not (shared and not df.isEmpty()) and records.isEmpty():
+                return SKIPPED
             for output in outputs:
                 output.write(output.modifiers.apply(df), run)
         finally:

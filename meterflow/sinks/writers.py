@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -45,3 +46,17 @@ def documents_to(path: str, ts_field: str | None = None) -> Writer:
 def table_to(path: str, format: str = "parquet") -> Writer:
     """Writer of the frame itself, one folder per run key."""
     return lambda df, run: df.write.mode("overwrite").format(format).save(f"{path}/run={run}")
+
+
+def send_batches(df: DataFrame, size: int, send: Callable[[list[str]], None]) -> None:
+    """Hand the ``value`` texts to ``send`` in lists of at most ``size``, on the executors.
+
+    Each task sends its own rows; a repeated task sends them again, so ``send`` should be
+    idempotent.
+    """
+    def partition(rows: Iterator) -> None:
+        values = (row["value"] for row in rows)
+        while batch := list(islice(values, size)):
+            send(batch)
+
+    df.select("value").foreachPartition(partition)

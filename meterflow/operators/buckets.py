@@ -168,11 +168,15 @@ def _with_empty(keyed: DataFrame, levels: Sequence[Level], metrics: Mapping[str,
 
 
 def _with_blank_filters(df: DataFrame, level: Filters) -> tuple[DataFrame, Column]:
-    """One row per matched filter, plus one blank row per declared name to keep names without hits."""
+    """One row per matched filter, plus one blank row per declared name to keep names without hits.
+
+    Without any row there is no bucket at all; the subquery for that stops at the first row.
+    """
     matched, _ = _explode_filters(df, level, False, None)
     blank = df.sparkSession.createDataFrame([(n, False) for n in level.filters], T.StructType([
         T.StructField(level.name, T.StringType()), T.StructField("_hit", T.BooleanType()),
     ]))
+    blank = blank.where(df.select(F.lit(1)).exists())
     return matched.withColumn("_hit", F.lit(True)).unionByName(blank, allowMissingColumns=True), F.col("_hit")
 
 

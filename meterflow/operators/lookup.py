@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
+from meterflow.functions.keys import require_unique
 from meterflow.functions.paths import column
 from meterflow.functions.values import b64, b64url, literal, truthy
 
@@ -15,16 +16,9 @@ ENCODERS = {"b64": b64, "b64url": b64url}
 
 
 def keyed_documents(dim: DataFrame, key: str) -> DataFrame:
-    """``dim`` as ``_lookup, _doc``; a key occurring twice fails the job instead of doubling rows.
-
-    The check is a subquery over the key column alone, so the join below still sees a plain table:
-    Spark can broadcast it by its size, or split skewed partitions of a shuffled join.
-    """
-    keys = dim.select(column((key,)).alias("k")).where("k IS NOT NULL")
-    twice = keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*")).scalar()
-    duplicate = F.raise_error(F.lit(f"lookup key {key} is not unique")).cast("boolean")
+    """``dim`` as ``_lookup, _doc`` with unique keys."""
     fields = [column((c,)).alias(c) for c in dim.columns if c != key]
-    docs = dim.where(F.when(twice > 0, duplicate).otherwise(True))
+    docs = require_unique(dim, key)
     return docs.select(column((key,)).alias("_lookup"), F.struct(*fields).alias("_doc"))
 
 

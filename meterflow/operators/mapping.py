@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
+from meterflow.functions.keys import require_unique
 from meterflow.functions.values import INTEGERS, NUMBERS, common_type, literal, text, truthy
 
 CASTS = ("str", "int", "bool", "float")
@@ -31,7 +32,7 @@ def map_values(
     """Replace a field by its mapped value, or write the value to ``result``.
 
     ``mapping`` is a dict of constants or, for large mappings, a DataFrame ``key, value`` with
-    unique keys, which is joined. Whether a key is present decides, not whether its value is null.
+    unique keys (checked), which is joined. Whether a key is present decides, not whether its value is null.
     A ``default`` other than ``None`` implies ``missing="default"``. Rows outside ``within`` keep
     what the result field holds.
     """
@@ -157,7 +158,7 @@ def _current(df: DataFrame, target: str, vtype: T.DataType | None, sep: str) ->
 def _join(df, mapping, looked_up, target, original, default, missing, within, sep) -> DataFrame:
     """Large mapping: a left join whose strategy is chosen from table sizes at run time."""
     vtype = mapping.schema["value"].dataType
-    side = mapping.select(F.col("key").alias("_map_key"), F.col("value").alias("_map_value"), F.lit(True).alias("_map_hit"))
+    side = require_unique(mapping, "key").select(F.col("key").alias("_map_key"), F.col("value").alias("_map_value"), F.lit(True).alias("_map_hit"))
     joined = df.withColumn("_key", looked_up).join(side, F.col("_key").eqNullSafe(F.col("_map_key")), "left")
     if missing == "default":
         other = F.lit(default).cast(vtype)

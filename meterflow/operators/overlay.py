@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
+from meterflow.functions.keys import require_unique
 from meterflow.functions.paths import column
 
 
 def overlay(base: DataFrame, *overlays: DataFrame, key: str = "name") -> DataFrame:
-    """Rows of all tables merged by ``key``; unmatched overlay rows are appended.
+    """Rows of all tables merged by ``key``; unmatched overlay rows are appended. Keys are unique.
 
     Values present in an overlay replace the base's, structs merge field by field, lists are
     appended, and lists of structs with a ``name`` field are merged by that name. With several
@@ -21,8 +22,8 @@ def overlay(base: DataFrame, *overlays: DataFrame, key: str = "name") -> DataFra
 
 
 def _overlay(base: DataFrame, extension: DataFrame, key: str) -> DataFrame:
-    left = base.select(column((key,)).alias("_key"), F.struct(*map(_named, base.columns)).alias("_base"))
-    right = extension.select(column((key,)).alias("_key"), F.struct(*map(_named, extension.columns)).alias("_ext"))
+    left = require_unique(base, key).select(column((key,)).alias("_key"), F.struct(*map(_named, base.columns)).alias("_base"))
+    right = require_unique(extension, key).select(column((key,)).alias("_key"), F.struct(*map(_named, extension.columns)).alias("_ext"))
     types = {f.name: f.dataType for f in base.schema.fields}
     new = {f.name: f.dataType for f in extension.schema.fields}
     columns = []

@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from meterflow.operators.filters import simple_filter
-from meterflow.plans.flow import Flow, Output, Task, Transform
+from meterflow.plans.flow import Flow, Modifiers, Output, Task, Transform
 from meterflow.queries.registry import query, table
 from meterflow.sinks.formats import json_lines
 from meterflow.sinks.writers import documents_to, table_to
@@ -41,20 +41,15 @@ def stream_flow(spark, sf):
     """A flow with two outputs over a stream; the documents are read back."""
     place = workspace(spark, "flow")
     stream = _stream(spark, sf, "events")
-    task = Task("events", stream, metrics="value", attributes=["event_id"], ts="ts")
-    task = Task(**{**task.__dict__, "modifiers": _hourly()})
+    task = Task(
+        "events", stream, metrics="value", attributes=["event_id"], ts="ts", modifiers=Modifiers("1h")
+    )
     outputs = [Output(documents_to(f"{place}/docs", "at")), Output(table_to(f"{place}/frame"))]
     flow = Flow([task], [Transform(partial(simple_filter, cond="gt 200"))], outputs)
     run_stream(flow, task, stream, f"{place}/checkpoint").awaitTermination()
     return spark.read.text(f"{place}/docs").select(F.col("value").alias("doc"))
 
 
-def _hourly():
-    from meterflow.plans.flow import Modifiers
-
-    return Modifiers("1h")
-
-
 @query("topic_messages", """
 SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders
 """)

@@ -7,6 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from meterflow.operators.filters import simple_filter
+from meterflow.operators.flatten import flatten
 from meterflow.operators.lookup import enrich, missing_keys
 from meterflow.operators.mapping import map_values
 from meterflow.operators.normalize import to_metrics
@@ -145,9 +146,6 @@ def priority_chain(spark, sf):
     return flat(apply_by_priority(_routed(spark, sf), steps), "task_name")
 
 
-_STATUS = {"O": "open", "F": "final", "P": None}
-
-
 @query("map_default", """
 SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'P' THEN NULL ELSE 'unknown' END AS o_orderstatus,
   o_orderpriority, 'o_totalprice' AS metric_field, o_totalprice AS metric FROM orders
@@ -157,21 +155,21 @@ def map_default(spark, sf):
 
 
 @query("map_metric", """
-SELECT n_nationkey, n_name, 'n_regionkey' AS metric_field,
-  CASE n_regionkey WHEN 1 THEN 'hello' WHEN 2 THEN 'world' ELSE 'unknown' END AS metric FROM nation
+SELECT p_partkey, p_type, 'p_size' AS metric_field,
+  CASE p_size WHEN 1 THEN 'hello' WHEN 2 THEN 'world' ELSE 'unknown' END AS metric FROM part
 """)
 def map_metric(spark, sf):
-    frame = to_metrics(table(spark, sf, "nation"), "nations", "n_regionkey")
-    return flat(map_values(frame, {1: "hello", 2.0: "world"}, "n_regionkey", default="unknown"))
+    frame = to_metrics(table(spark, sf, "part"), "parts", "p_size", ["p_partkey", "p_type"])
+    return flat(map_values(frame, {1: "hello", 2.0: "world"}, "p_size", default="unknown"))
 
 
 @query("map_cast", """
-SELECT n_nationkey, n_name, CASE WHEN n_nationkey IN (1, 2) THEN 10 * n_nationkey ELSE -1 END AS code,
-  'n_regionkey' AS metric_field, CAST(n_regionkey AS BIGINT) AS metric FROM nation
+SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber IN (1, 2) THEN 10 * l_linenumber ELSE -1 END AS code,
+  'l_quantity' AS metric_field, l_quantity AS metric FROM lineitem
 """)
 def map_cast(spark, sf):
-    frame = to_metrics(table(spark, sf, "nation"), "nations", "n_regionkey")
-    return flat(map_values(frame, {"1": 10, "2": 20}, "n_nationkey", "code", cast="str", default=-1))
+    frame = to_metrics(table(spark, sf, "lineitem"), "items", "l_quantity", ["l_orderkey", "l_linenumber"])
+    return flat(map_values(frame, {"1": 10, "2": 20}, "l_linenumber", "code", cast="str", default=-1))
 
 
 @query("map_original", """
@@ -294,8 +292,6 @@ SELECT coalesce(s.s_suppkey, c.c_custkey) AS name, coalesce(c.c_name, s.s_name)
 FROM supplier s FULL OUTER JOIN customer c ON s.s_suppkey = c.c_custkey
 """)
 def overlay_by_name(spark, sf):
-    from meterflow.operators.flatten import flatten
-
     base = table(spark, sf, "supplier").select(
         F.col("s_suppkey").alias("name"), F.col("s_name").alias("label"),
         F.struct("s_acctbal", F.col("s_nationkey").alias("nation")).alias("info"),

@@ -1,6 +1,3 @@
-import os
-import tempfile
-
 import pytest
 
 from meterflow.session import build_session
@@ -14,7 +11,6 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "4g",
-            "spark.checkpoint.dir": os.environ.get("METERFLOW_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="meterflow-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

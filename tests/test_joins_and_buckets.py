@@ -103,6 +103,32 @@ def test_shuffled_lookup_keeps_the_skew_join_shape(spark, dim):
     assert len(sides) == 2 and all(lines[i + 1].startswith("Exchange hashpartitioning") for i in sides)
 
 
+def test_hot_key_is_split_at_run_time(spark):
+    """Most rows under one key, against a table that is not broadcast."""
+    hot = spark.range(60_000).select(
+        F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+        F.col("id").alias("metric"),
+    ).repartition(12)
+    dim = spark.range(60_000).select(F.col("id").alias("key"), (F.col("id") * 2).alias("twice"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100kb",
+    }
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        out = enrich(to_metrics(hot, "t"), dim, "k", "key")
+        got = out.selectExpr("attributes.k", "attributes.twice", "attributes.pad")
+        rows = got.collect()
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert "skew=true" in plan
+    assert len(rows) == 60_000 and all(r["twice"] == 2 * r["k"] for r in rows)
+
+
 def test_key_encodings(spark):
     keys = ["", "a", "é?>~" * 40, "x" * 57, "x" * 58]
     df = spark.createDataFrame([(k,) for k in keys], "k string")
@@ -124,6 +150,13 @@ def test_overlay_merges_tasks_by_name(spark):
     assert got["new"] == {"name": "new", "kind": "x", "tasks": None}
 
 
+def test_doubled_names_are_refused(spark):
+    base = spark.createDataFrame([("k", 1), ("k", 2)], "name string, v int")
+    with pytest.raises(Exception, match="not unique"):
+        overlay(base, base.limit(1)).collect()
+    assert overlay(spark.createDataFrame([(None, 1), (None, 2)], "name string, v int"), base.limit(1)).count() == 3
+
+
 def test_first_listed_overlay_wins(spark):
     mk = lambda v, extra: spark.createDataFrame([("k", v, (v, extra), [extra])], "name string, v int, s struct<a: int, b: string>, l array<string>")
     base = mk(0, "base")

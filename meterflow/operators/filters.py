@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
@@ -83,19 +84,24 @@ def _no_nulls(value: Column, test: Column) -> Column:
 def _coerce(text: str, dtype: T.DataType) -> tuple[Column | None, bool]:
     try:
         if isinstance(dtype, INTEGERS):
-            return F.lit(int(text)), True
+            number = int(text)
+            fits = -(2**63) <= number < 2**63
+            return F.lit(number) if fits else F.lit(str(number)).cast(T.DecimalType(38, 0)), True
         if isinstance(dtype, FRACTIONS):
             return F.lit(float(text)), True
         if isinstance(dtype, T.DecimalType):
             float(text)
             return F.lit(text).cast(T.DecimalType(38, dtype.scale)), True
+        if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            dt.datetime.fromisoformat(text)
+            return F.lit(text).cast(dtype), True
     except ValueError:
         return None, False
     if isinstance(dtype, T.BooleanType):
         known = {"true": True, "1": True, "false": False, "0": False}.get(text.strip().lower())
         return (F.lit(known), True) if known is not None else (None, False)
-    if isinstance(dtype, (T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.lit(text).cast(dtype), True
+    if isinstance(dtype, T.StringType):
+        return F.lit(text), True
     return None, False
 
 

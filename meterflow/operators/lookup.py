@@ -33,6 +33,7 @@ def enrich(
     fail: bool = False,
     falsy_as_missing: bool = True,
     salts: int = 1,
+    within: Column | None = None,
     sep: str = ".",
 ) -> DataFrame:
     """Merge the document found under ``key`` over the attributes of each metric.
@@ -44,11 +45,14 @@ def enrich(
 
     The join strategy is left to Spark, which broadcasts ``dim`` only when its size is known to be
     small and splits skewed partitions at run time. ``salts`` > 1 additionally spreads every key
-    over that many partitions by replicating ``dim``, for hot keys against a large table.
+    over that many partitions by replicating ``dim``, for hot keys against a large table. Rows
+    outside ``within`` are not looked up and keep their fields.
     """
     value, dtype = frame.field(df, key, sep)
     if encode:
         value = ENCODERS[encode](value.cast("string"))
+    if within is not None:
+        value = F.when(within, value)
     right = keyed_documents(dim, dim_key)
     schema: T.StructType = right.schema["_doc"].dataType
     left, on = df.withColumn("_lookup", value), ["_lookup"]
@@ -61,7 +65,8 @@ def enrich(
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     if fail:
         lost = F.raise_error(F.concat(F.lit("no document for key "), F.coalesce(F.col("_lookup").cast("string"), F.lit("null"))))
-        joined = joined.where(F.when(~hit, lost.cast("boolean")).otherwise(True))
+        needed = ~hit if within is None else within & ~hit
+        joined = joined.where(F.when(needed, lost.cast("boolean")).otherwise(True))
 
     values: dict[str, Column] = {}
     if include is None:
@@ -79,6 +84,9 @@ def enrich(
             found = column(("_doc", name))
             usable = truthy(found, types[name]) if falsy_as_missing else found.isNotNull()
             values[name] = F.when(usable, found).otherwise(default.cast(types[name]))
+    if within is not None:
+        known = _field_names(df)
+        values = {n: F.when(within, v).otherwise(_own(df, n) if n in known else F.lit(None)) for n, v in values.items()}
     out = frame.merge_fields(joined, values)
     return out.select(*[column((c,)) for c in _ordered(df, values)])
 

@@ -48,9 +48,10 @@ def to_metrics(
 
     ``metrics`` are names or patterns over the flattened record. A selected field is removed from
     the attributes of every row of its record. ``attributes`` restricts the rest to exact
-    top-level names and ``static`` values are merged over them. A record without any metric field
-    is an error unless ``allow_none``. Null metrics are kept unless ``drop_absent`` says that null
-    means "field not present", as in JSON sources.
+    top-level names and ``static`` values are merged over them. A table without any metric field is
+    an error unless ``allow_none``. Null metrics are kept unless ``drop_absent`` says that null means
+    "field not present", as in JSON sources; a record left without metrics then gives no row, or
+    with ``allow_none`` one row without a metric.
 
     Everything is resolved against the schema while the plan is built. One metric is a plain
     projection, so a later filter on it still reaches the scan; several are one unpivot.
@@ -80,18 +81,23 @@ def to_metrics(
     ids.append(F.struct(*[c.alias(n) for n, c in kept.items()]).alias(frame.ATTRIBUTES))
 
     mtype = widest(dtype for _, dtype in chosen.values())
-    if len(chosen) <= 1:
+    values = {n: _widen(column(p), t, mtype) for n, (p, t) in chosen.items()}
+    if drop_absent and allow_none and chosen:
+        present = F.array_compact(F.array(*[
+            F.when(v.isNotNull(), F.struct(F.lit(n).alias(frame.FIELD), v.alias(frame.METRIC))) for n, v in values.items()
+        ]))
+        out = df.select(*ids, F.inline_outer(present))
+    elif len(values) <= 1:
         value, name = F.lit(None).cast("double"), F.lit(None).cast("string")
-        for found, (path, dtype) in chosen.items():
-            value, name = _widen(column(path), dtype, mtype), F.lit(found)
+        for found, v in values.items():
+            value, name = v, F.lit(found)
         out = df.select(*ids, name.alias(frame.FIELD), value.alias(frame.METRIC))
     else:
-        values = [_widen(column(p), t, mtype).alias(n) for n, (p, t) in chosen.items()]
         keys = [*head, frame.ATTRIBUTES]
-        out = df.select(*ids, *values).unpivot(
-            keys, [quote(n) for n in chosen], frame.FIELD, frame.METRIC
+        out = df.select(*ids, *[v.alias(n) for n, v in values.items()]).unpivot(
+            keys, [quote(n) for n in values], frame.FIELD, frame.METRIC
         )
-    if drop_absent and chosen:
+    if drop_absent and not allow_none:
         out = out.where(F.col(frame.METRIC).isNotNull())
     out = out.withMetadata(frame.FIELD, {"metric_fields": list(chosen)})
     return out.select([c for c in frame.COLUMNS if c in out.columns])

@@ -57,27 +57,43 @@ def shift_time(
     return df.withColumn(ts, value)
 
 
-def date_expression(text: str | dt.datetime | Column, anchor: Column | dt.datetime | None = None) -> Column:
-    """Column for ``now``, ``now/h-30m`` or a timestamp literal; steps apply left to right.
+def moment(value: dt.datetime | str, target: T.DataType) -> Column:
+    """Constant of a timestamp type; a value without a zone is UTC."""
+    if isinstance(value, dt.datetime):
+        if value.tzinfo is not None:
+            value = value.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        value = value.isoformat(" ")
+    if isinstance(target, T.TimestampType) and not re.search(r"(Z|[+-]\d\d:?\d\d|UTC)$", value):
+        value += " UTC" if ":" in value else " 00:00:00 UTC"
+    return F.lit(value).cast(target)
+
+
+def date_expression(
+    text: str | dt.datetime | Column, anchor: Column | dt.datetime | None = None,
+    target: T.DataType = T.TimestampType(),
+) -> Column:
+    """Column for ``now``, ``now/h-30m`` or a timestamp; steps apply left to right.
 
     ``/unit`` rounds down. The result is constant, so a comparison with it can be pushed down.
     """
     if isinstance(text, Column):
-        return text
-    if isinstance(text, dt.datetime):
-        return F.lit(text)
-    start, steps = (text[3:], True) if text.startswith("now") else (text, False)
-    if not steps:
-        return F.to_timestamp(F.lit(text))
-    value = F.current_timestamp() if anchor is None else F.lit(anchor)
-    if _STEP.sub("", start):
+        return text.cast(target)
+    if isinstance(text, dt.datetime) or not text.startswith("now"):
+        return moment(text, target)
+    if anchor is None:
+        anchor = F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz"))
+        value = anchor if isinstance(target, T.TimestampNTZType) else F.current_timestamp()
+    else:
+        value = anchor if isinstance(anchor, Column) else moment(anchor, target)
+    steps = text[3:]
+    if _STEP.sub("", steps):
         raise ValueError(f"not a date expression: {text!r}")
-    for move, unit in _STEP.findall(start):
+    for move, unit in _STEP.findall(steps):
         if move == "/":
             value = F.date_trunc(DATE_UNITS[unit], value)
         else:
             value = F.timestamp_add(DATE_UNITS[unit], F.lit(int(move)), value)
-    return value
+    return value.cast(target)
 
 
 def time_range(
@@ -102,9 +118,10 @@ def time_range_condition(
     value, dtype = frame.field(df, ts)
     # bounds take the column's own type, so the comparison casts the constant and not the column
     target = dtype if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)) else T.TimestampType()
-    value = value if dtype == target else value.cast(target)
-    first = date_expression(start, anchor).cast(target)
-    last = date_expression(end, anchor).cast(target)
+    # text that is no timestamp is in no range
+    value = value if dtype == target else value.try_cast(target)
+    first = date_expression(start, anchor, target)
+    last = date_expression(end, anchor, target)
     above = value >= first if lower == "gte" else value > first
     below = value < last if upper == "lt" else value <= last
     return above & below

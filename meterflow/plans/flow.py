@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, replace
+from fnmatch import fnmatchcase
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,6 +115,12 @@ class Flow:
             return []
         return [o for o in self.outputs if o.enabled and o.route.accepts(task.input_name, task.name)]
 
+    def unmatched(self) -> list[tuple[str, str]]:
+        """Route patterns that match no configured task or input: ``(side, pattern)``."""
+        names = {"task": {t.name for t in self.tasks}, "input": {t.input_name for t in self.tasks}}
+        patterns = dict.fromkeys(p for part in (*self.transforms, *self.outputs) for p in part.route.patterns())
+        return [(side, p) for side, p in patterns if not any(fnmatchcase(n, p) for n in names[side])]
+
     def plan(self, task: Task, records: DataFrame) -> DataFrame:
         """Lazy frame of a task after all its transforms."""
         df = task.frame(records)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions.durations import micros
-from meterflow.operators.timeops import floor_time
+from meterflow.operators.timeops import floor_time, moment
 
 # Outcomes of a run, and the standard log levels with their numbers.
 RESULTS = ("okay", "skipped", "failed")
@@ -27,8 +27,7 @@ def run_summary(
 
     A pending run has no end time and counts in the interval in which it ends.
     """
-    kind = runs.schema[finished].dataType
-    first, last = [(b if isinstance(b, Column) else F.lit(b)).cast(kind) for b in (start, end)]
+    first, last = _bounds(runs, finished, start, end)
     inside = runs.where((F.col(finished) >= first) & (F.col(finished) < last))
     counts = inside.agg(*_result_counts(result))
     return counts.select(
@@ -63,15 +62,27 @@ def _result_rows() -> Column:
 
 
 def level_summary(
-    logs: DataFrame, min_level: str = "DEBUG", level: str = "level", levels: Mapping[str, int] = LEVELS
+    logs: DataFrame,
+    min_level: str = "DEBUG",
+    level: str = "level",
+    levels: Mapping[str, int] = LEVELS,
+    start: dt.datetime | str | Column | None = None,
+    end: dt.datetime | str | Column | None = None,
+    ts: str = "ts",
 ) -> DataFrame:
     """Messages per level from ``min_level`` up, every such level present even with no message.
 
-    ``level`` is a column of level names or numbers. The levels are known, so this is one row of
+    ``level`` is a column of level names or numbers. With ``start`` and ``end`` only messages of
+    that interval count and the rows carry its bounds. The levels are known, so this is one row of
     conditional counts, unfolded.
     """
     shown = {n: v for n, v in levels.items() if v >= levels[min_level.upper()]}
     by_name = logs.schema[level].dataType.typeName() == "string"
+    bounds = []
+    if start is not None and end is not None:
+        first, last = _bounds(logs, ts, start, end)
+        logs = logs.where((F.col(ts) >= first) & (F.col(ts) < last))
+        bounds = [first.alias("timestamp_from"), last.alias("timestamp_to")]
     counts = [
         F.count_if((F.upper(F.col(level)) == n) if by_name else (F.col(level) == v)).alias(f"_{v}")
         for n, v in shown.items()
@@ -80,4 +91,9 @@ def level_summary(
         F.struct(F.col(f"_{v}").alias("metric"), F.lit("log").alias("metric_type"), F.lit(v).alias("log_level"))
         for v in shown.values()
     ])
-    return logs.agg(*counts).select(F.inline(rows))
+    return logs.agg(*counts).select(F.inline(rows), *bounds)
+
+
+def _bounds(df: DataFrame, ts: str, start, end) -> list[Column]:
+    kind = df.schema[ts].dataType
+    return [b.cast(kind) if isinstance(b, Column) else moment(b, kind) for b in (start, end)]

@@ -111,6 +111,13 @@ def test_levels(spark):
     assert {r["log_level"]: r["metric"] for r in level_summary(numbers, "WARNING").collect()} == {30: 0, 40: 4, 50: 0}
 
 
+def test_levels_of_an_interval(spark):
+    df = spark.createDataFrame([("info", AT), ("info", AT + dt.timedelta(hours=1))], "level string, ts timestamp_ntz")
+    got = level_summary(df, "info", start=AT, end=AT + dt.timedelta(minutes=1)).collect()
+    assert {r["log_level"]: r["metric"] for r in got} == {20: 1, 30: 0, 40: 0, 50: 0}
+    assert {r["timestamp_from"] for r in got} == {AT}
+
+
 # templates
 
 def test_runs_pair_values():
@@ -241,6 +248,9 @@ def test_flow_runs_into_accepting_outputs(spark, tmp_path):
     assert len(kept) == 2 and {r["metric_ts"] for r in kept} == {AT - dt.timedelta(hours=1)}
     assert not (tmp_path / "lines").exists() and not (tmp_path / "off").exists()
     assert Flow([one], outputs=flow.outputs, disable_outputs=True).sinks(one) == []
+    assert flow.unmatched() == []
+    odd = Flow([one], [Transform(lambda df: df, Route(include_tasks=["stats*", "q*"], exclude_inputs="web"))])
+    assert odd.unmatched() == [("task", "q*"), ("input", "web")]
     with pytest.raises(ValueError):
         Flow([one, one])
 

@@ -81,6 +81,12 @@ def test_missing_and_duplicate_documents(spark, dim):
     assert sorted(r["metric"] for r in dicts(missing_keys(df, dim, "k", "id"))) == [2, 3]
 
 
+def test_lookup_within(spark, dim):
+    df = to_metrics(spark.createDataFrame([(1, "a", "own"), (2, "zz", "own"), (3, "a", "own")], "metric int, k string, s string"), "t")
+    got = enrich(df, dim, "k", "id", include=["s", "n"], defaults={"s": "d"}, fail=True, within=F.col("metric") == 1)
+    assert {r["metric"]: (r["attributes"]["s"], r["attributes"]["n"]) for r in dicts(got)} == {1: ("d", None), 2: ("own", None), 3: ("own", None)}
+
+
 def test_salted_lookup_equals_plain(spark, dim):
     keys = ["a"] * 300 + ["b", "c"]
     df = to_metrics(spark.createDataFrame(list(enumerate(keys)), "metric int, k string"), "t")

@@ -96,6 +96,14 @@ def test_nulls_kept_or_absent(spark):
     assert [r["metric"] for r in rows(to_metrics(df, "t", ["a", "b"], drop_absent=True))] == [1, 2]
 
 
+def test_absent_everywhere(spark):
+    df = spark.createDataFrame([(None, None, "x"), (2, None, "y")], "a int, b int, k string")
+    got = [(r["metric_field"], r["metric"], r["attributes"]["k"]) for r in rows(to_metrics(df, "t", ["a", "b"], drop_absent=True, allow_none=True))]
+    assert got == [(None, None, "x"), ("a", 2, "y")]
+    single = rows(to_metrics(df, "t", "b", drop_absent=True, allow_none=True))
+    assert [r["metric_field"] for r in single] == [None, None]
+
+
 def test_metric_types(spark):
     big = 2**53 + 1
     df = spark.createDataFrame([(big, 1.5, True, big)], "i bigint, d double, b boolean, j bigint")

@@ -134,6 +134,16 @@ def test_unparsable_text_equals_nothing(letters):
     assert metrics(simple_filter(letters, "ne 1.5")) == [1, 2, 3]
 
 
+def test_large_and_dated_values(spark):
+    df = spark.createDataFrame([(1, 5, dt.datetime(2024, 1, 1)), (2, 2**62, dt.datetime(2024, 1, 2))], "id int, n bigint, ts timestamp_ntz")
+    assert values(simple_filter(df, f"lt {2**70} n"), "id") == [1, 2]
+    assert values(simple_filter(df, f"eq {2**70} n"), "id") == []
+    assert values(simple_filter(df, "gt 2024-01-01 ts"), "id") == [2]
+    assert values(simple_filter(df, "ne soon ts"), "id") == [1, 2]
+    with pytest.raises(ValueError):
+        simple_filter(df, "gt soon ts")
+
+
 def test_containment_in_nested_values(spark):
     df = spark.createDataFrame(
         [(1, ["x", None], {"k": 1}, (5,)), (2, [], {}, None)], "id int, l array<string>, m map<string,int>, s struct<f: int>"
@@ -306,12 +316,30 @@ def test_range_of_the_search_example(spark):
     # the first document lies exactly on the excluded upper bound
     assert sorted(values(time_range(df, "now/h-30m", "now/h-10m", anchor=anchor), "i")) == list(range(1, 21))
     assert len(values(time_range(df, "now/h-30m", "now/h-10m", anchor=anchor, lower="gt", upper="lte"), "i")) == 20
+    broken = df.union(spark.createDataFrame([(-1, ("not a time",))], df.schema))
+    assert time_range(broken, "2020-01-01", hour).count() == 120
     with pytest.raises(ValueError):
         time_range(df, "now-5q")
     with pytest.raises(ValueError):
         time_range(df, "now", lower="ge")
 
 
+def test_ranges_do_not_depend_on_the_session_zone(spark):
+    df = spark.sql("SELECT TIMESTAMP'2024-01-15 12:00:00Z' ts, TIMESTAMP_NTZ'2024-01-15 12:00:00' local")
+    anchor = dt.datetime(2024, 1, 15, 12, 30)
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        for name in ("ts", "local"):
+            assert time_range(df, "now-31m", "now-29m", name, anchor).count() == 1, name
+            assert time_range(df, "2024-01-15 12:00:00", "2024-01-15T12:00:01", name).count() == 1, name
+            assert time_range(df, "now-1h", "now", name).count() == 0
+        now = df.select(F.current_timestamp().alias("ts"), F.convert_timezone(None, F.lit("UTC"), F.current_timestamp().cast("timestamp_ntz")).alias("local"))
+        for name in ("ts", "local"):
+            assert time_range(now, "now-1h", "now+1h", name).count() == 1, name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 # user transforms
 
 def test_nested_field_per_metric(letters):
@@ -319,6 +347,15 @@ def test_nested_field_per_metric(letters):
     assert values(got.select("attributes.field.nested"), "nested") == [123, 123, 123]
 
 
+def test_python_over_nested_rows(letters):
+    def upper(pdf):
+        letter = pdf["attributes"].map(lambda a: {"name": {"letter": a["name"]["letter"].upper()}})
+        return pdf.assign(attributes=letter, metric=pdf["metric"] * 2)
+
+    got = [(r["metric"], r["attributes"]["name"]["letter"]) for r in transform_batches(letters, upper).collect()]
+    assert got == [(2, "A"), (4, "B"), (6, "C")]
+
+
 def test_batches_may_drop_and_add(letters):
     flat = letters.select("metric")
     got = transform_batches(flat, lambda pdf: pdf[pdf.metric > 1].assign(twice=lambda p: p.metric * 2), "metric bigint, twice bigint")

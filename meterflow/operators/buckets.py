@@ -259,20 +259,26 @@ class BucketLevel:
     named: bool = False
 
 
-def bucket_schema(levels: Sequence[BucketLevel], metrics: Mapping[str, str]) -> T.StructType:
+def bucket_schema(
+    levels: Sequence[BucketLevel], metrics: Mapping[str, str], fields: Mapping[str, str]
+) -> T.StructType:
     """Schema of an aggregation document with these levels; metrics may occur at any depth."""
-    def fields(rest: Sequence[BucketLevel]) -> list[T.StructField]:
-        found = [T.StructField(m, T.StructType([T.StructField("value", T._parse_datatype_string(t))])) for m, t in metrics.items()]
+    def parsed(text: str) -> T.DataType:
+        return T._parse_datatype_string(text)
+
+    def below(rest: Sequence[BucketLevel]) -> list[T.StructField]:
+        found = [T.StructField(m, T.StructType([T.StructField("value", parsed(t))])) for m, t in metrics.items()]
         if rest:
-            below = [T.StructField(DOC_COUNT, T.LongType()), *fields(rest[1:])]
+            inner = [T.StructField(n, parsed(t)) for n, t in fields.items()]
+            inner += [T.StructField(DOC_COUNT, T.LongType()), *below(rest[1:])]
             if rest[0].named:
-                buckets = T.MapType(T.StringType(), T.StructType(below))
+                buckets = T.MapType(T.StringType(), T.StructType(inner))
             else:
-                key = T.StructField("key", T._parse_datatype_string(rest[0].key_type))
-                buckets = T.ArrayType(T.StructType([key, *below]))
+                buckets = T.ArrayType(T.StructType([T.StructField("key", parsed(rest[0].key_type)), *inner]))
             found.append(T.StructField(rest[0].name, T.StructType([T.StructField("buckets", buckets)])))
         return found
-    return T.StructType(fields(levels))
+
+    return T.StructType(below(levels))
 
 
 def flatten_buckets(
@@ -281,34 +287,36 @@ def flatten_buckets(
     levels: Sequence[BucketLevel],
     metrics: Mapping[str, str] | None = None,
     ids: Sequence[str] = (),
+    fields: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Leaf records of aggregation documents held as JSON text, one document per row.
 
-    A child's ``doc_count`` and metrics replace its parent's; an empty list of children leaves the
-    parent as the record, with the deeper keys null.
+    ``metrics`` are single values given as ``{"value": ...}``, ``fields`` any other bucket fields, such
+    as ``key_as_string`` or metrics with several values. A child's ``doc_count``, metrics and fields
+    replace its parent's; an empty list of children leaves the parent as the record, with the deeper
+    keys null.
     """
-    metrics = dict(metrics or {})
+    metrics, fields = dict(metrics or {}), dict(fields or {})
+    schema = bucket_schema(levels, metrics, fields)
     own = [column((i,)) for i in ids]
-    node = F.from_json(column((json_col,)), bucket_schema(levels, metrics))
-    out = df.select(*own, node.alias("_node"))
-    out = out.select(
-        *own, F.col("_node"), F.lit(None).cast("bigint").alias(DOC_COUNT),
-        *[column(("_node", m, "value")).alias(m) for m in metrics],
-    )
+    out = df.select(*own, F.from_json(column((json_col,)), schema).alias("_node"))
+    start = {DOC_COUNT: F.lit(None).cast("bigint")}
+    start |= {m: column(("_node", m, "value")) for m in metrics}
+    start |= {n: F.lit(None).cast(t) for n, t in fields.items()}
+    out = out.select(*own, F.col("_node"), *[v.alias(n) for n, v in start.items()])
+    paths = {n: ("_child", n, "value") if n in metrics else ("_child", n) for n in start}
     keys: list[str] = []
     for level in levels:
-        carried = [F.col(quote(c)) for c in (*ids, *keys, DOC_COUNT, *metrics)]
         buckets = column(("_node", level.name, "buckets"))
+        kept = [column((c,)) for c in (*ids, *keys, *start)]
         if level.named:
-            out = out.select(*carried, F.explode_outer(buckets).alias("_key", "_child"))
+            out = out.select(*kept, F.explode_outer(buckets).alias("_key", "_child"))
         else:
-            out = out.select(*carried, F.explode_outer(buckets).alias("_child")).withColumn("_key", F.col("_child.key"))
-        deeper = {m: F.coalesce(column(("_child", m, "value")), F.col(quote(m))) for m in metrics}
+            out = out.select(*kept, F.explode_outer(buckets).alias("_child")).withColumn("_key", F.col("_child.key"))
         out = out.select(
-            *[F.col(quote(c)) for c in (*ids, *keys)],
+            *[column((c,)) for c in (*ids, *keys)],
             F.col("_key").alias(level.name),
-            F.coalesce(F.col("_child." + DOC_COUNT), F.col(DOC_COUNT)).alias(DOC_COUNT),
-            *[v.alias(m) for m, v in deeper.items()],
+            *[F.coalesce(column(path), column((n,))).alias(n) for n, path in paths.items()],
             F.col("_child").alias("_node"),
         )
         keys.append(level.name)

@@ -13,6 +13,12 @@ from meterflow.functions.globs import matches_any, path_matches
 from meterflow.functions.paths import column, quote
 from meterflow.functions.values import widest
 
+# Measures and attributes of a directory quota report.
+QUOTA_MEASURES = (
+    "maxbytes", "maxfiles", "maxlogicalbytes", "percentageusedbytes", "usedbytes", "usedfiles", "usedlogicalbytes",
+)
+QUOTA_ATTRIBUTES = ("gid", "quota", "space", "statusbytes", "statusfiles", "pattern")
+
 
 def glob_filter(df: DataFrame, path: str, include: Sequence[str], skip: Sequence[str] = ()) -> DataFrame:
     """Rows whose path matches an include pattern and no skip pattern.
@@ -27,8 +33,8 @@ def glob_filter(df: DataFrame, path: str, include: Sequence[str], skip: Sequence
 
 def unpivot_report(
     df: DataFrame,
-    measures: Sequence[str],
-    attributes: Sequence[str],
+    measures: Sequence[str] = QUOTA_MEASURES,
+    attributes: Sequence[str] = QUOTA_ATTRIBUTES,
     key: str = "metric_key",
     path: str | None = None,
     patterns: Sequence[str] = (),

@@ -12,14 +12,15 @@ from meterflow.plans.flow import Flow, Task
 
 
 def run_stream(
-    flow: Flow, task: Task, stream: DataFrame, checkpoint: str, trigger: dict | None = None
+    flow: Flow, task: Task, stream: DataFrame, checkpoint: str, trigger: dict | None = None, prefix: str = ""
 ) -> StreamingQuery:
     """Run a task over every micro-batch of a stream and send it to the task's outputs.
 
-    The batch id is the run key, so a batch repeated after a failure replaces its own output.
+    The batch id is the run key, so a batch repeated after a failure replaces its own output. A
+    query started anew with another checkpoint counts from zero again and needs its own ``prefix``.
     """
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        flow.deliver(task, batch, str(batch_id))
+        flow.deliver(task, batch, f"{prefix}{batch_id}")
 
     writer = stream.writeStream.foreachBatch(deliver).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

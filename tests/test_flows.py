@@ -18,7 +18,7 @@ from meterflow.sinks.formats import documents, envelope, json_arrays, json_lines
 from meterflow.sinks.writers import documents_to, lines_to, send_batches, table_to, write_documents, write_lines
 from meterflow.sources.generated import random_metrics
 from meterflow.sources.payloads import infer_json_type, json_records, read_json, read_text
-from meterflow.sources.reports import glob_filter, unpivot_report
+from meterflow.sources.reports import QUOTA_MEASURES, glob_filter, unpivot_report
 from meterflow.sources.sql import jdbc_source, sql_source
 from meterflow.sources.summaries import LEVELS, level_summary, run_summaries, run_summary
 from meterflow.sources.topics import read_topic, write_topic
@@ -84,6 +84,13 @@ def test_report_and_paths(spark):
     assert glob_filter(df, "path", ["/q/*"]).count() == 2
 
 
+def test_quota_report(spark):
+    row = {m: i for i, m in enumerate(QUOTA_MEASURES)} | {"gid": "g", "quota": "q", "space": "/s", "statusbytes": "ok", "statusfiles": "ok", "extra": 1}
+    got = unpivot_report(spark.createDataFrame([row])).collect()
+    assert {r["metric_key"]: r["metric"] for r in got} == {m: i for i, m in enumerate(QUOTA_MEASURES)}
+    assert "extra" not in got[0] and got[0]["space"] == "/s"
+
+
 def test_random_metrics(spark):
     got = random_metrics(spark, 500, lo=-5, hi=5, seed=1, attributes={"k": "v", "n": {"m": 1}}).collect()
     assert len(got) == 500 and all(-5 <= r["metric"] < 5 and r["k"] == "v" and r["n"]["m"] == 1 for r in got)

@@ -2,6 +2,7 @@
 
 import base64
 import datetime as dt
+import json
 import random
 from collections import Counter, defaultdict
 
@@ -293,6 +294,50 @@ def test_bucket_documents(spark):
     ]
 
 
+def python_leaves(node, levels, metrics, fields):
+    """Leaf records of one bucket document, by recursion."""
+    def walk(node, rest, seen):
+        seen = seen | {m: node[m]["value"] for m in metrics if m in node}
+        seen = seen | {f: node[f] for f in ("doc_count", *fields) if f in node}
+        if not rest:
+            return [seen]
+        buckets = node.get(rest[0].name, {}).get("buckets", [])
+        pairs = list(buckets.items()) if isinstance(buckets, dict) else [(b["key"], b) for b in buckets]
+        return [leaf for key, b in pairs for leaf in walk(b, rest[1:], seen | {rest[0].name: key})] or [seen]
+
+    return walk(node, levels, {})
+
+
+def test_bucket_documents_against_recursion(spark):
+    rng = random.Random(5)
+    levels = [BucketLevel("a"), BucketLevel("b", named=True), BucketLevel("c", "bigint")]
+
+    def bucket(depth):
+        node = {"doc_count": rng.randint(0, 9)} if depth else {}
+        if rng.random() < 0.6:
+            node["m"] = {"value": rng.randint(0, 99)}
+        if depth and rng.random() < 0.5:
+            node["key_as_string"] = f"k{rng.randint(0, 9)}"
+        if depth < 3:
+            children = [bucket(depth + 1) for _ in range(rng.randint(0, 3))]
+            if levels[depth].named:
+                node[levels[depth].name] = {"buckets": {f"n{i}": c for i, c in enumerate(children)}}
+            else:
+                keyed = [{"key": i if depth == 2 else f"v{i}", **c} for i, c in enumerate(children)]
+                node[levels[depth].name] = {"buckets": keyed}
+        return node
+
+    docs = [bucket(0) for _ in range(60)]
+    df = spark.createDataFrame([(i, json.dumps(d)) for i, d in enumerate(docs)], "id int, doc string")
+    got = flatten_buckets(df, "doc", levels, {"m": "bigint"}, ["id"], {"key_as_string": "string"})
+    names = ["id", "a", "b", "c", "doc_count", "m", "key_as_string"]
+    want = Counter(
+        tuple((leaf | {"id": i}).get(n) for n in names)
+        for i, d in enumerate(docs) for leaf in python_leaves(d, levels, ["m"], ["key_as_string"])
+    )
+    assert Counter(map(tuple, got.select(names).collect())) == want
+
+
 # gauges
 
 def test_gauge_rows_and_last_value(spark):

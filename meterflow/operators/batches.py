@@ -39,13 +39,13 @@ def number_rows(df: DataFrame, seq: str, name: str = "row_no", rows_per_range: i
     """
     key = F.col(quote(seq)).cast("bigint")
     cuts = _cut_points(df.select(key.alias("k")), rows_per_range)
+    if not cuts:
+        # everything fits one range
+        return df.withColumn(name, F.row_number().over(Window.orderBy(key)).cast("bigint") - 1)
+    splits = [float("-inf"), *cuts, float("inf")]
     ranged = df.withColumn("_order", F.coalesce(key.cast("double"), F.lit(-1e300)))
-    if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range").transform(ranged)
-        ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
-    else:
-        ranged = ranged.withColumn("_range", F.lit(0))
+    ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range").transform(ranged)
+    ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
     sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     # one row per range, at most MAX_RANGES
@@ -73,6 +73,9 @@ def _cut_points(keys: DataFrame, rows_per_range: int) -> list[float]:
     steps = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
     cuts = F.percentile_approx("k", steps, 10 * ranges)
     found = keys.sample(share, seed=7).agg(cuts.alias("cuts")).first()["cuts"]
+    if not found:
+        # an unlucky empty sample
+        found = keys.agg(cuts.alias("cuts")).first()["cuts"]
     return sorted({float(c) for c in found or ()})
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, types as T
 from pyspark.sql import functions as F
 
 from meterflow.functions.paths import column, quote
+from meterflow.operators.filters import all_of
 from meterflow.operators.timeops import floor_time
 
 DOC_COUNT = "doc_count"
@@ -99,148 +100,161 @@ def bucket_agg(
 ) -> DataFrame:
     """One row per innermost bucket: the keys of all levels, ``doc_count`` and the metrics.
 
-    ``metrics`` maps a result name to ``(function, column)``; functions are sum, avg, min, max,
-    count, cardinality (approximate), exact_cardinality, percentile (approximate) and stats. With ``keep_empty``
-    a bucket without child buckets is still one row, its deeper keys null.
+    Level columns are SQL expressions over the table. ``metrics`` maps a result name to
+    ``(function, column)``; functions are sum, avg, min, max, count, cardinality (approximate),
+    exact_cardinality, percentile (approximate) and stats. With ``keep_empty`` a bucket without child
+    buckets is still one row, its deeper keys null.
 
     Everything is one grouping with map-side combining, so a hot key costs one partial row per
     task. A last level of named filters is computed by conditional aggregates instead of
     multiplying rows. Only a ``top_n`` on an outer level reads the input a second time.
     """
     metrics = dict(metrics or {})
-    names = [level.name for level in levels]
     if not levels:
         raise ValueError("bucket_agg needs at least one level; see root_agg")
     df = _limit_outer_levels(df, levels)
+    keys = [f"_level_{i}" for i in range(len(levels))]
     if isinstance(levels[-1], Filters) and (not keep_empty or len(levels) == 1):
-        return _filters_last(df, levels, metrics)
-
-    keyed, hit = df, None
-    for depth, level in enumerate(levels):
-        if isinstance(level, Filters) and keep_empty and depth == 0:
-            keyed, hit = _with_blank_filters(keyed, level)
-        elif isinstance(level, Filters):
-            keyed, hit = _explode_filters(keyed, level, keep_empty, hit)
-        else:
-            keyed = keyed.withColumn(level.name, _key(df, level))
-    keys = [F.col(quote(n)) for n in names]
-    count = F.count("*") if hit is None else F.count_if(hit)
-    if not keep_empty:
-        for level in levels:
-            keyed = keyed.where(F.col(quote(level.name)).isNotNull())
-        out = keyed.groupBy(*keys).agg(count.alias(DOC_COUNT), *_measures(metrics, hit))
+        out = _filters_last(df, levels, keys, metrics)
     else:
-        out = _with_empty(keyed, levels, metrics, hit)
+        keyed, hit = _with_keys(df, levels, keys, keep_empty)
+        group = _with_empty if keep_empty else _grouped
+        out = group(keyed, levels, keys, metrics, hit)
     last = levels[-1]
     if isinstance(last, Terms) and last.top_n:
-        out = _top(out, names[:-1], last)
-    return out.select(*keys, DOC_COUNT, *[F.col(quote(m)) for m in metrics])
+        out = _top(out, keys, last.top_n)
+    named = [F.col(k).alias(level.name) for k, level in zip(keys, levels)]
+    return out.select(*named, DOC_COUNT, *[F.col(quote(m)) for m in metrics])
+
+
+def _with_keys(
+    df: DataFrame, levels: Sequence[Level], keys: Sequence[str], keep_empty: bool
+) -> tuple[DataFrame, Column | None]:
+    """Rows with one key column per level, and the condition of the rows that count."""
+    # all keys come from the table's own columns, before rows are multiplied
+    plain = {k: _key(df, level) for k, level in zip(keys, levels) if not isinstance(level, Filters)}
+    df, hit = df.withColumns(plain) if plain else df, None
+    for depth, (key, level) in enumerate(zip(keys, levels)):
+        if isinstance(level, Filters):
+            if keep_empty and depth == 0:
+                df, hit = _with_blank_filters(df, level, key)
+            else:
+                df, hit = _explode_filters(df, level, key, keep_empty, hit)
+    return df, hit
+
+
+def _grouped(
+    keyed: DataFrame, levels: Sequence[Level], keys: Sequence[str], metrics: Mapping[str, Metric], hit: Column | None
+) -> DataFrame:
+    for key in keys:
+        keyed = keyed.where(F.col(key).isNotNull())
+    return keyed.groupBy(*keys).agg(F.count("*").alias(DOC_COUNT), *_measures(metrics, hit))
 
 
-def _with_empty(keyed: DataFrame, levels: Sequence[Level], metrics: Mapping[str, Metric], hit: Column | None) -> DataFrame:
+def _with_empty(
+    keyed: DataFrame, levels: Sequence[Level], keys: Sequence[str], metrics: Mapping[str, Metric], hit: Column | None
+) -> DataFrame:
     """Group by every prefix of the levels at once; a prefix stays where it has no child."""
-    names = [level.name for level in levels]
     if hit is not None:
         # keys below a filter that did not match are no buckets
-        below = False
-        for level in levels:
-            if below and not isinstance(level, Filters):
-                keyed = keyed.withColumn(level.name, F.when(hit, F.col(quote(level.name))))
-            below = below or isinstance(level, Filters)
-    keyed = keyed.where(F.col(quote(names[0])).isNotNull())
-    keys = [F.col(quote(n)) for n in names]
-    sets = [keys[: depth + 1] for depth in range(len(keys))]
+        first = next(i for i, level in enumerate(levels) if isinstance(level, Filters))
+        for key, level in list(zip(keys, levels))[first + 1:]:
+            if not isinstance(level, Filters):
+                keyed = keyed.withColumn(key, F.when(hit, F.col(key)))
+    keyed = keyed.where(F.col(keys[0]).isNotNull())
     # grouping sets null out their own keys, so children are counted on copies
-    for i, n in enumerate(names):
-        keyed = keyed.withColumn(f"_key_{i}", F.col(quote(n)))
-    children = [F.count(F.col(f"_key_{i}")).alias(f"_children_{i}") for i in range(len(names))]
+    keyed = keyed.withColumns({f"_child_{i}": F.col(k) for i, k in enumerate(keys)})
+    children = [F.count(f"_child_{i}").alias(f"_children_{i}") for i in range(len(keys))]
     count = F.count("*") if hit is None else F.count_if(hit)
-    grouped = keyed.groupingSets(sets, *keys).agg(
+    columns = [F.col(k) for k in keys]
+    grouped = keyed.groupingSets([columns[: depth + 1] for depth in range(len(keys))], *columns).agg(
         count.alias(DOC_COUNT), F.grouping_id().alias("_set"), *children, *_measures(metrics, hit)
     )
     keep = F.lit(False)
-    for depth in range(len(names)):
-        present = F.lit(True)
-        for n in names[: depth + 1]:
-            present = present & F.col(quote(n)).isNotNull()
+    for depth in range(len(keys)):
+        present = all_of([F.col(k).isNotNull() for k in keys[: depth + 1]])
         # bits of the keys that are not part of this prefix
-        this = F.col("_set") == F.lit(2 ** (len(names) - depth - 1) - 1)
-        leaf = F.lit(True) if depth == len(names) - 1 else F.col(f"_children_{depth + 1}") == 0
+        this = F.col("_set") == F.lit(2 ** (len(keys) - depth - 1) - 1)
+        leaf = F.lit(True) if depth == len(keys) - 1 else F.col(f"_children_{depth + 1}") == 0
         keep = keep | (this & present & leaf)
     return grouped.where(keep)
 
 
-def _with_blank_filters(df: DataFrame, level: Filters) -> tuple[DataFrame, Column]:
+def _tests(level: Filters) -> dict[str, Column]:
+    return {n: F.coalesce(F.expr(c) if isinstance(c, str) else c, F.lit(False)) for n, c in level.filters.items()}
+
+
+def _with_blank_filters(df: DataFrame, level: Filters, key: str) -> tuple[DataFrame, Column]:
     """One row per matched filter, plus one blank row per declared name to keep names without hits.
 
     Without any row there is no bucket at all; the subquery for that stops at the first row.
     """
-    matched, _ = _explode_filters(df, level, False, None)
+    matched, _ = _explode_filters(df, level, key, False, None)
     blank = df.sparkSession.createDataFrame([(n, False) for n in level.filters], T.StructType([
-        T.StructField(level.name, T.StringType()), T.StructField("_hit", T.BooleanType()),
+        T.StructField(key, T.StringType()), T.StructField("_hit", T.BooleanType()),
     ]))
     blank = blank.where(df.select(F.lit(1)).exists())
     return matched.withColumn("_hit", F.lit(True)).unionByName(blank, allowMissingColumns=True), F.col("_hit")
 
 
-def _explode_filters(df: DataFrame, level: Filters, keep_empty: bool, hit: Column | None) -> tuple[DataFrame, Column | None]:
-    tests = {n: F.coalesce(F.expr(c) if isinstance(c, str) else c, F.lit(False)) for n, c in level.filters.items()}
+def _explode_filters(
+    df: DataFrame, level: Filters, key: str, keep_empty: bool, hit: Column | None
+) -> tuple[DataFrame, Column | None]:
+    tests = _tests(level)
     if not keep_empty:
         matched = F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in tests.items()]))
-        return df.withColumn(level.name, F.explode(matched)), None
+        return df.withColumn(key, F.explode(matched)), None
     flags = F.array(*[
         F.struct(F.lit(n).alias("n"), (t if hit is None else t & hit).alias("h")) for n, t in tests.items()
     ])
     out = df.withColumn("_flag", F.explode(flags))
-    out = out.withColumn(level.name, F.col("_flag.n")).withColumn("_hit", F.col("_flag.h")).drop("_flag")
-    return out, F.col("_hit")
+    return out.withColumns({key: F.col("_flag.n"), "_hit": F.col("_flag.h")}).drop("_flag"), F.col("_hit")
 
 
-def _filters_last(df: DataFrame, levels: Sequence[Level], metrics: Mapping[str, Metric]) -> DataFrame:
-    *outer, last = levels
-    for level in outer:
-        if isinstance(level, Filters):
-            df, _ = _explode_filters(df, level, False, None)
-        else:
-            df = df.withColumn(level.name, _key(df, level)).where(F.col(quote(level.name)).isNotNull())
-    tests = {n: F.coalesce(F.expr(c) if isinstance(c, str) else c, F.lit(False)) for n, c in last.filters.items()}
+def _filters_last(
+    df: DataFrame, levels: Sequence[Level], keys: Sequence[str], metrics: Mapping[str, Metric]
+) -> DataFrame:
+    """Outer levels as grouping keys, and one conditional aggregate per named filter."""
+    df, _ = _with_keys(df, levels[:-1], keys, False)
+    for key in keys[:-1]:
+        df = df.where(F.col(key).isNotNull())
+    tests = _tests(levels[-1])
     aggregates = [F.count("*").alias("_all")]
     for i, test in enumerate(tests.values()):
         aggregates.append(F.count_if(test).alias(f"_n_{i}"))
         aggregates += [measure(spec, test).alias(f"_m_{i}_{j}") for j, spec in enumerate(metrics.values())]
-    keys = [F.col(quote(level.name)) for level in outer]
-    grouped = df.groupBy(*keys).agg(*aggregates)
+    grouped = df.groupBy(*keys[:-1]).agg(*aggregates)
     rows = F.array(*[
         F.struct(
-            F.lit(n).alias(last.name), F.col(f"_n_{i}").alias(DOC_COUNT),
+            F.lit(n).alias(keys[-1]), F.col(f"_n_{i}").alias(DOC_COUNT),
             *[F.col(f"_m_{i}_{j}").alias(m) for j, m in enumerate(metrics)],
         )
         for i, n in enumerate(tests)
     ])
-    return grouped.where(F.col("_all") > 0).select(*keys, F.inline(rows))
+    return grouped.where(F.col("_all") > 0).select(*keys[:-1], F.inline(rows))
 
 
-def _top(buckets: DataFrame, parents: Sequence[str], level: Terms) -> DataFrame:
+def _top(buckets: DataFrame, keys: Sequence[str], top_n: int) -> DataFrame:
     """The largest buckets below each parent; equal counts are ordered by key."""
-    order = [F.col(DOC_COUNT).desc(), F.col(quote(level.name)).asc()]
+    *parents, last = keys
+    order = [F.col(DOC_COUNT).desc(), F.col(last).asc()]
     if not parents:
-        return buckets.orderBy(*order).limit(level.top_n)
-    window = Window.partitionBy(*[F.col(quote(p)) for p in parents]).orderBy(*order)
-    return buckets.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= level.top_n).drop("_rank")
+        return buckets.orderBy(*order).limit(top_n)
+    window = Window.partitionBy(*parents).orderBy(*order)
+    return buckets.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= top_n).drop("_rank")
 
 
 def _limit_outer_levels(df: DataFrame, levels: Sequence[Level]) -> DataFrame:
+    """Rows of the largest buckets of every outer level that has a ``top_n``."""
     for depth, level in enumerate(levels[:-1]):
         if isinstance(level, Terms) and level.top_n:
             upper = list(levels[: depth + 1])
             if any(isinstance(u, Filters) for u in upper):
                 raise ValueError("top_n below named filters is only supported on the last level")
             top = bucket_agg(df, upper).select([F.col(quote(u.name)).alias(f"_top_{i}") for i, u in enumerate(upper)])
-            test = F.lit(True)
-            for i, u in enumerate(upper):
-                df = df.withColumn(f"_own_{i}", _key(df, u))
-                test = test & (F.col(f"_own_{i}") == F.col(f"_top_{i}"))
-            df = df.join(top, test, "left_semi").drop(*[f"_own_{i}" for i in range(len(upper))])
+            own = {f"_own_{i}": _key(df, u) for i, u in enumerate(upper)}
+            test = all_of([F.col(f"_own_{i}") == F.col(f"_top_{i}") for i in range(len(upper))])
+            df = df.withColumns(own).join(top, test, "left_semi").drop(*own)
     return df
 
 

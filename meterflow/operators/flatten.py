@@ -55,9 +55,9 @@ def flatten_array(
     found = find(df.schema, name, sep)
     if found is None or not isinstance(found[1], T.ArrayType):
         raise ValueError(f"{name!r} is not a list field")
-    items = df.select(*[column((i,)) for i in ids], F.posexplode(column(found[0])).alias("pos", value))
+    items = df.select(*[column((i,)) for i in ids], F.posexplode(column(found[0])).alias("_pos", value))
     return items.select(
-        *ids, F.concat(F.lit(name + sep), F.col("pos").cast("string")).alias(key), F.col(value)
+        *ids, F.concat(F.lit(name + sep), F.col("_pos").cast("string")).alias(key), F.col(value)
     )
 
 

@@ -93,10 +93,10 @@ def to_metrics(
             value, name = v, F.lit(found)
         out = df.select(*ids, name.alias(frame.FIELD), value.alias(frame.METRIC))
     else:
-        keys = [*head, frame.ATTRIBUTES]
-        out = df.select(*ids, *[v.alias(n) for n, v in values.items()]).unpivot(
-            keys, [quote(n) for n in values], frame.FIELD, frame.METRIC
-        )
+        # metric fields may be named like frame columns, so these take other names meanwhile
+        keys = {f"_frame_{n}": n for n in (*head, frame.ATTRIBUTES)}
+        wide = df.select(*[i.alias(k) for i, k in zip(ids, keys)], *[v.alias(n) for n, v in values.items()])
+        out = wide.unpivot(list(keys), [quote(n) for n in values], frame.FIELD, frame.METRIC).withColumnsRenamed(keys)
     if drop_absent and not allow_none:
         out = out.where(F.col(frame.METRIC).isNotNull())
     out = out.withMetadata(frame.FIELD, {"metric_fields": list(chosen)})

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from meterflow.operators.filters import simple_filter
+from meterflow.operators.lookup import enrich
 from meterflow.operators.mapping import map_values
 from meterflow.operators.normalize import to_metrics
 from meterflow.operators.routing import Route
@@ -314,3 +315,20 @@ def test_workspace_uses_the_session_folder(spark):
     before = spark.conf.get("spark.checkpoint.dir", None)
     a, b = workspace(spark, "x"), workspace(spark, "x")
     assert a.startswith(before or "/") and a != b
+
+
+def test_lookup_and_mapping_on_a_stream(spark, tmp_path):
+    """Transforms applied to the stream itself, against a static table."""
+    rows = spark.range(30).select((F.col("id") % 5).alias("metric"), F.concat(F.lit("k"), (F.col("id") % 3).cast("string")).alias("k"))
+    rows.write.parquet(str(tmp_path / "in"))
+    dim = spark.createDataFrame([("k0", "zero"), ("k1", "one")], "id string, word string")
+
+    def plan(df):
+        frame = simple_filter(to_metrics(df, "s", ts=F.lit(AT)), "gt 0")
+        frame = map_values(frame, {1: 10}, "metric", missing="original")
+        return json_lines(enrich(frame, dim, "k", "id", include=["word"], defaults={"word": "none"}))
+
+    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    writer = plan(stream).writeStream.format("text").option("checkpointLocation", str(tmp_path / "cp"))
+    writer.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    assert sorted(values(spark.read.text(str(tmp_path / "out")))) == sorted(values(plan(rows)))

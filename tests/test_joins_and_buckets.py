@@ -248,6 +248,17 @@ def test_filters_in_every_position(spark):
     assert two == {("s", "five", 2), ("s", "no", 0)}
 
 
+def test_bucket_names_do_not_hide_columns(spark):
+    df = spark.createDataFrame([(1.5, "a", dt.datetime(2024, 1, 1, 5)), (1.7, "b", dt.datetime(2024, 1, 1, 7))], "v double, k string, ts timestamp_ntz")
+    levels = [Terms("v", "floor(v)"), DateHistogram("ts", "ts", "1d"), Filters("k", {"late": "hour(ts) > 6", "a": "k = 'a'"})]
+    metrics = {"s": ("sum", "v"), "last": ("max", "ts")}
+    want = {(1, dt.datetime(2024, 1, 1), "late", 1, 1.7, dt.datetime(2024, 1, 1, 7)), (1, dt.datetime(2024, 1, 1), "a", 1, 1.5, dt.datetime(2024, 1, 1, 5))}
+    for keep_empty in (False, True):
+        assert set(map(tuple, bucket_agg(df, levels, metrics, keep_empty).collect())) == want
+    turned = bucket_agg(df, [levels[2], levels[0]], {"s": ("sum", "v")}, keep_empty=True)
+    assert set(map(tuple, turned.collect())) == {("late", 1, 1, 1.7), ("a", 1, 1, 1.5)}
+
+
 def test_no_rows_no_records(spark):
     df = spark.createDataFrame([], "a string, v int")
     assert bucket_agg(df, [Filters("f", {"x": "v > 1"})]).count() == 0

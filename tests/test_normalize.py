@@ -62,6 +62,13 @@ def test_pattern_crosses_levels_and_empty_parent_goes(spark):
     assert [r["metric_field"] for r in got] == ["s.a", "s.b.c"] and got[0]["attributes"] == {"k": "x"}
 
 
+def test_fields_named_like_frame_columns(spark):
+    df = spark.createDataFrame([(1, 2, 3, "x", 5)], "seq int, metric int, metric_ts int, task_name string, attributes int")
+    got = rows(to_metrics(df, "t", ["seq", "metric", "metric_ts", "attributes"], seq="seq"))
+    assert [(r["metric_field"], r["metric"], r["seq"]) for r in got] == [("seq", 1, 1), ("metric", 2, 1), ("metric_ts", 3, 1), ("attributes", 5, 1)]
+    assert got[0]["attributes"] == {"task_name": "x"} and got[0]["task_name"] == "t"
+
+
 def test_field_name_with_separator(spark):
     df = spark.createDataFrame([(1, "x")], "`a.b` int, c string")
     got = rows(to_metrics(df, "t", "a.b"))

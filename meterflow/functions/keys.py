@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from meterflow.functions.paths import column
 
 
-def require_unique(df: DataFrame, key: str) -> DataFrame:
+def require_unique(df: DataFrame, key: str, check: bool = True) -> DataFrame:
     """The same rows, failing the job if a key occurs twice, since a join would double rows.
 
     The check is a subquery over the key column alone, counted with map-side combining. The table
     itself stays a plain input of the join: Spark can broadcast it by its size, or split skewed
-    partitions of a shuffled join.
+    partitions of a shuffled join. ``check=False`` trusts keys known to be unique.
     """
+    if not check:
+        return df
     keys = df.select(column((key,)).alias("k")).where("k IS NOT NULL")
     twice = keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*")).scalar()
     duplicate = F.raise_error(F.lit(f"key {key} is not unique")).cast("boolean")

@@ -202,8 +202,8 @@ def _explode_filters(
 ) -> tuple[DataFrame, Column | None]:
     tests = _tests(level)
     if not keep_empty:
-        matched = F.array_compact(F.array(*[F.when(t, F.lit(n)) for n, t in tests.items()]))
-        return df.withColumn(key, F.explode(matched)), None
+        names = F.array(*[F.when(t, F.lit(n)) for n, t in tests.items()])
+        return df.withColumn(key, F.explode(names)).where(F.col(key).isNotNull()), None
     flags = F.array(*[
         F.struct(F.lit(n).alias("n"), (t if hit is None else t & hit).alias("h")) for n, t in tests.items()
     ])

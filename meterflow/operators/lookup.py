@@ -15,10 +15,10 @@ from meterflow.functions.values import b64, b64url, literal, truthy
 ENCODERS = {"b64": b64, "b64url": b64url}
 
 
-def keyed_documents(dim: DataFrame, key: str) -> DataFrame:
+def keyed_documents(dim: DataFrame, key: str, check: bool = True) -> DataFrame:
     """``dim`` as ``_lookup, _doc`` with unique keys."""
     fields = [column((c,)).alias(c) for c in dim.columns if c != key]
-    docs = require_unique(dim, key)
+    docs = require_unique(dim, key, check)
     return docs.select(column((key,)).alias("_lookup"), F.struct(*fields).alias("_doc"))
 
 
@@ -34,6 +34,7 @@ def enrich(
     falsy_as_missing: bool = True,
     salts: int = 1,
     within: Column | None = None,
+    check_unique: bool = True,
     sep: str = ".",
 ) -> DataFrame:
     """Merge the document found under ``key`` over the attributes of each metric.
@@ -46,14 +47,15 @@ def enrich(
     The join strategy is left to Spark, which broadcasts ``dim`` only when its size is known to be
     small and splits skewed partitions at run time. ``salts`` > 1 additionally spreads every key
     over that many partitions by replicating ``dim``, for hot keys against a large table. Rows
-    outside ``within`` are not looked up and keep their fields.
+    outside ``within`` are not looked up and keep their fields. A key occurring twice in ``dim`` fails
+    the job, unless ``check_unique`` is off for keys known to be unique.
     """
     value, dtype = frame.field(df, key, sep)
     if encode:
         value = ENCODERS[encode](value.cast("string"))
     if within is not None:
         value = F.when(within, value)
-    right = keyed_documents(dim, dim_key)
+    right = keyed_documents(dim, dim_key, check_unique)
     schema: T.StructType = right.schema["_doc"].dataType
     left, on = df.withColumn("_lookup", value), ["_lookup"]
     if salts > 1:

@@ -9,7 +9,7 @@ from meterflow.functions.keys import require_unique
 from meterflow.functions.paths import column
 
 
-def overlay(base: DataFrame, *overlays: DataFrame, key: str = "name") -> DataFrame:
+def overlay(base: DataFrame, *overlays: DataFrame, key: str = "name", check_unique: bool = True) -> DataFrame:
     """Rows of all tables merged by ``key``; unmatched overlay rows are appended. Keys are unique.
 
     Values present in an overlay replace the base's, structs merge field by field, lists are
@@ -17,13 +17,13 @@ def overlay(base: DataFrame, *overlays: DataFrame, key: str = "name") -> DataFra
     overlays the first one listed is applied last and wins.
     """
     for extension in reversed(overlays):
-        base = _overlay(base, extension, key)
+        base = _overlay(base, extension, key, check_unique)
     return base
 
 
-def _overlay(base: DataFrame, extension: DataFrame, key: str) -> DataFrame:
-    left = require_unique(base, key).select(column((key,)).alias("_key"), F.struct(*map(_named, base.columns)).alias("_base"))
-    right = require_unique(extension, key).select(column((key,)).alias("_key"), F.struct(*map(_named, extension.columns)).alias("_ext"))
+def _overlay(base: DataFrame, extension: DataFrame, key: str, check: bool) -> DataFrame:
+    left = require_unique(base, key, check).select(column((key,)).alias("_key"), F.struct(*map(_named, base.columns)).alias("_base"))
+    right = require_unique(extension, key, check).select(column((key,)).alias("_key"), F.struct(*map(_named, extension.columns)).alias("_ext"))
     types = {f.name: f.dataType for f in base.schema.fields}
     new = {f.name: f.dataType for f in extension.schema.fields}
     columns = []

@@ -6,10 +6,15 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterflow import frame
 from meterflow.functions.durations import micros
 from meterflow.functions.paths import quote
 
 
+# Fixed value: rows and period of a batch where no rate is given.
+DEFAULT_RATE = "2000/500ms"
+
+
 def parse_rate(rate: str) -> tuple[int, int]:
     """``"2000/500ms"`` as (rows per batch, microseconds per batch)."""
     size, _, period = rate.partition("/")
@@ -18,7 +23,15 @@ def parse_rate(rate: str) -> tuple[int, int]:
     return int(size), micros(period)
 
 
-def local_batches(df: DataFrame, size: int, name: str = "batch_id") -> DataFrame:
+def rows_per_batch(size: int | str) -> int:
+    """Batch size given as a number or as the first part of a rate."""
+    rows = parse_rate(size)[0] if isinstance(size, str) else size
+    if rows < 1:
+        raise ValueError("a batch holds at least one row")
+    return rows
+
+
+def local_batches(df: DataFrame, size: int | str = DEFAULT_RATE, name: str = "batch_id") -> DataFrame:
     """Batches of at most ``size`` consecutive rows within each partition, without a shuffle.
 
     Ids are unique but depend on how the data is split; the last batch of a partition may be short.
@@ -26,7 +39,7 @@ def local_batches(df: DataFrame, size: int, name: str = "batch_id") -> DataFrame
     row = F.monotonically_increasing_id()
     partition = F.shiftright(row, 33)
     within = row.bitwiseAND(F.lit((1 << 33) - 1))
-    return df.withColumn(name, F.shiftleft(partition, 33) + _whole(within, size))
+    return df.withColumn(name, F.shiftleft(partition, 33) + _whole(within, rows_per_batch(size)))
 
 
 def number_rows(df: DataFrame, seq: str, name: str = "row_no", rows_per_range: int = 1_000_000) -> DataFrame:
@@ -79,12 +92,13 @@ def _cut_points(keys: DataFrame, rows_per_range: int) -> list[float]:
     return sorted({float(c) for c in found or ()})
 
 
-def batch_ids(df: DataFrame, size: int, seq: str, name: str = "batch_id", **options) -> DataFrame:
+def batch_ids(
+    df: DataFrame, size: int | str = DEFAULT_RATE, seq: str = frame.SEQ, name: str = "batch_id", **options
+) -> DataFrame:
     """Batches of exactly ``size`` rows (the last may be short) in the order of ``seq``."""
-    if size < 1:
-        raise ValueError("size must be positive")
+    rows = rows_per_batch(size)
     numbered = number_rows(df, seq, "_number", **options)
-    return numbered.withColumn(name, _whole(F.col("_number"), size)).drop("_number")
+    return numbered.withColumn(name, _whole(F.col("_number"), rows)).drop("_number")
 
 
 def _whole(number: Column, size: int) -> Column:

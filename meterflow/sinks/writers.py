@@ -8,6 +8,7 @@ from itertools import islice
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from meterflow.operators.batches import DEFAULT_RATE, rows_per_batch
 from meterflow.sinks.formats import documents, json_lines
 
 Writer = Callable[[DataFrame, str], None]
@@ -48,15 +49,17 @@ def table_to(path: str, format: str = "parquet") -> Writer:
     return lambda df, run: df.write.mode("overwrite").format(format).save(f"{path}/run={run}")
 
 
-def send_batches(df: DataFrame, size: int, send: Callable[[list[str]], None]) -> None:
+def send_batches(df: DataFrame, send: Callable[[list[str]], None], size: int | str = DEFAULT_RATE) -> None:
     """Hand the ``value`` texts to ``send`` in lists of at most ``size``, on the executors.
 
     Each task sends its own rows; a repeated task sends them again, so ``send`` should be
-    idempotent.
+    idempotent. Pauses between batches are left to ``send``.
     """
+    rows_at_once = rows_per_batch(size)
+
     def partition(rows: Iterator) -> None:
         values = (row["value"] for row in rows)
-        while batch := list(islice(values, size)):
+        while batch := list(islice(values, rows_at_once)):
             send(batch)
 
     df.select("value").foreachPartition(partition)

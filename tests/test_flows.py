@@ -225,7 +225,7 @@ def test_sent_batches_are_bounded(spark, tmp_path):
         with open(os.path.join(folder, batch[0]), "w") as f:
             f.write("\n".join(batch))
 
-    send_batches(spark.range(0, 100, 1, 3).select(F.col("id").cast("string").alias("value")), 16, send)
+    send_batches(spark.range(0, 100, 1, 3).select(F.col("id").cast("string").alias("value")), send, "16/1s")
     sent = [open(tmp_path / n).read().split("\n") for n in os.listdir(tmp_path)]
     assert max(map(len, sent)) == 16 and sorted(int(v) for b in sent for v in b) == list(range(100))
 

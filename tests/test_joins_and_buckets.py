@@ -11,7 +11,7 @@ from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from meterflow.functions.values import b64, b64url
-from meterflow.operators.batches import batch_ids, local_batches, number_rows, parse_rate
+from meterflow.operators.batches import batch_ids, local_batches, number_rows, parse_rate, rows_per_batch
 from meterflow.operators.buckets import (
     BucketLevel, DateHistogram, Filters, Histogram, Terms, bucket_agg, flatten_buckets, root_agg,
 )
@@ -367,9 +367,12 @@ def test_gauge_rows_and_last_value(spark):
 
 def test_rates():
     assert parse_rate("2000/500ms") == (2000, 500_000) and parse_rate("5/1m") == (5, 60_000_000)
+    assert rows_per_batch("7/1s") == rows_per_batch(7) == 7
     for bad in ("2000", "x/1s", "0/1s"):
         with pytest.raises(ValueError):
             parse_rate(bad)
+    with pytest.raises(ValueError):
+        rows_per_batch(0)
 
 
 @pytest.mark.parametrize("keys", [

@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, mixing, near_vectors, ngram_join, pii
+from meterflow.llm import decontaminate, mixing, near_vectors, ngram_join, pii, toxicity
 from meterflow.llm.registry import query, table
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 @query("op3_near_vectors")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, mixing, near_vectors, ngram_join, pii, toxicity
+from meterflow.llm import decontaminate, mixing, near_vectors, ngram_join, pii, toxicity, warc
 from meterflow.llm.registry import query, table
+from meterflow.llm.shared import fresh_folder
 
 
 @query("op1_toxicity")
@@ -25,6 +26,28 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+# DuckDB has no base 32: the digest is put together from the bits of the hexadecimal SHA-1
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, sha1(h) AS hex, octet_length(encode(h)) AS n FROM p),
+k AS (SELECT hex, min(page_id) AS keeper FROM d GROUP BY hex),
+b AS (SELECT hex, keeper, list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + (('0x' || substr(hex, 1 + 10 * (i // 8)::INT, 10))::BIGINT >> (35 - 5 * (i % 8))::INT & 31)::INT, 1)), 'string_agg', '') AS digest FROM k)
+SELECT d.page_id, d.n::BIGINT AS payload_bytes, b.digest AS payload_digest,
+    CASE WHEN d.page_id = b.keeper THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN d.page_id <> b.keeper THEN b.keeper END AS refers_to
+FROM d JOIN b USING (hex)
+"""
+
+
+@query("op6_warc", OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_folder(spark, "archive")
+    warc.write_archive(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archive(spark, folder).select(
+        "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+
+
 @query("op8_ngram_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))

@@ -38,7 +38,7 @@ LOOKALIKES = {
 }
 SEPARATORS = ".-_*~'·"
 #: Costs of the channel, as natural logarithms of probabilities.
-SUBSTITUTED, DROPPED, REPEATED = -1.5, -1.0, -0.7
+SUBSTITUTED, DROPPED, REPEATED, DOUBLED = -1.5, -1.0, -0.7, -3.0
 
 #: Character classes of the language model: 0 the word's edge, 1-26 letters, 27 any other character.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -116,7 +116,8 @@ def decode(token: str, model: CharModel) -> str:
     table = model.table
     beams: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
     previous = ""
-    for c in token:
+    runs = {i for m in re.finditer(r"(.)\1\1+", token) for i in range(*m.span())}
+    for at, c in enumerate(token):
         options: list[tuple[str, float]] = []
         if c.isalpha():
             options.append((c, 0.0))
@@ -131,7 +132,7 @@ def decode(token: str, model: CharModel) -> str:
                 key = (b, d, int(k))
                 if key not in nxt or q > nxt[key][0]:
                     nxt[key] = (q, word + letter)
-            drop = REPEATED if c == previous else DROPPED if c in SEPARATORS else None
+            drop = (REPEATED if at in runs else DOUBLED) if c == previous else DROPPED if c in SEPARATORS else None
             if drop is not None and word:
                 q = p + drop
                 if (a, b, d) not in nxt or q > nxt[a, b, d][0]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, mixing, near_vectors, ngram_join, pii, toxicity, warc
+from meterflow.llm import decontaminate, html_text, mixing, near_vectors, ngram_join, pii, toxicity, warc
 from meterflow.llm.registry import query, table
 from meterflow.llm.shared import fresh_folder
 
@@ -16,6 +16,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
 
 
+@query("op2_html_text")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query("op3_near_vectors")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))

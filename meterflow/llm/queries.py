@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, html_text, mixing, near_vectors, ngram_join, pii, toxicity, warc
+from meterflow.llm import decontaminate, html_text, mixing, near_vectors, ngram_join, pii, recurrent_lm, toxicity, warc
 from meterflow.llm.registry import query, table
 from meterflow.llm.shared import fresh_folder
 
@@ -27,6 +27,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+@query("op4_recurrent_lm")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(table(spark, sf_dir, "documents"))
+
+
 @query("op5_decontaminate")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

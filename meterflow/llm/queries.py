@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import decontaminate, html_text, mixing, near_vectors, ngram_join, pii, recurrent_lm, toxicity, warc
+from meterflow.llm import chat, decontaminate, html_text, mixing, near_vectors, ngram_join, pii, recurrent_lm, toxicity, warc
 from meterflow.llm.registry import query, table
 from meterflow.llm.shared import fresh_folder
 
@@ -59,6 +59,13 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 
 
+@query("op7_chat")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").withColumnRenamed("conv_id", "conv")
+    parsed = chat.parse(chat.transcript_lines(turns), chat.learn(turns), part=64 * chat.TURN_LINES)
+    return chat.render(parsed).select(F.col("conv").alias("conv_id"), "line", "turn", "role", "rendered")
+
+
 @query("op8_ngram_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))

@@ -287,9 +287,19 @@ def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
     1, null labels and ids without a document teach nothing; without both labels all texts score alike, 0.5 where
     there are no labels. An empty table gives no rows. Whole texts are read.
     """
+    scored = with_score(docs.select(F.col(f"`{id_column}`"), F.col(f"`{text}`")), labels, id_column, text, "_score", per_label)
+    held = F.coalesce(~is_training(f"`{id_column}`"), F.lit(False))
+    return scored.select(F.col(f"`{id_column}`"), held.alias("held_out"), F.col("_score").alias("score"))
+
+
+def with_score(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str = "text", name: str = "score", per_label: int = SAMPLE
+) -> DataFrame:
+    """Every row and column of ``docs`` with its score in ``name``, which must not exist."""
+    if name in docs.columns:
+        raise ValueError(f"the column {name} is added and must not exist")
     shared_dir(docs.sparkSession)
-    plain = docs.select(F.col(f"`{id_column}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text"))
-    model = fit(plain, labels, per_label)
+    model = fit(docs.select(F.col(f"`{id_column}`").cast("long").alias("_id"), F.col(f"`{text}`").alias("_text")), labels, per_label)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,11 +307,11 @@ def score(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: s
         reader = Reader(CharModel(m["counts"]), m["chosen"])
         for batch in batches:
             out = []
-            for t in batch.column(1).to_pylist():
+            for t in batch.column(batch.num_columns - 1).to_pylist():
                 z = m["bias"] + sum(m["weights"][k] for k in sorted(reader.of(t)))
                 out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], ["_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], [*batch.schema.names[:-1], name])
 
-    scored = plain.select("_id", known("_text")).mapInArrow(run, "_id bigint, score double")
-    held = F.coalesce(~is_training("_id"), F.lit(False))
-    return scored.select(F.col("_id").alias(id_column), held.alias("held_out"), "score")
+    kept = [F.col(f"`{c}`") for c in docs.columns]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.select(*kept, known(f"`{text}`").alias("_scored_text")).mapInArrow(run, f"{fields}, `{name}` double")

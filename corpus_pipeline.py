@@ -1,6 +1,8 @@
 """Corpus pipeline: stages applied in turn to ``documents``, each written and read again before the next.
 
-A stage is ``(spark, docs, sf_dir) -> DataFrame``. All but the last return the columns of the documents.
+A stage is ``(spark, docs, sf_dir) -> DataFrame``. All but the last return the columns of the documents. Toxic texts go,
+one document of each group of near duplicates stays, texts with benchmark passages go, personal data is replaced, and
+what is left is mixed by source.
 """
 
 from __future__ import annotations
@@ -8,15 +10,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import mixing, pii
-from meterflow.llm.shared import stored
+from meterflow.llm import decontaminate, mixing, ngram_join, pii, toxicity
+from meterflow.llm.shared import sized, stored
+
+TOXIC = 0.7
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold; the model is learned from the labels beside the documents."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = toxicity.with_score(docs, labels, name="_toxicity")
+    return scored.where(F.col("_toxicity") < TOXIC).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group; of rows that repeat an id one, rows without an id all."""
+    found = stored(ngram_join.ngram_join(docs.select("doc_id", "text")), "near-copies")
+    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
+    rest = docs.join(sized(gone), F.col("doc_id") == F.col("_id"), "left_anti")
+    again = stored(found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
+    again = sized(again.select(F.col("doc_id").alias("_id")))
+    single = rest.join(again, F.col("doc_id") == F.col("_id"), "left_anti")
+    folded = rest.join(again, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    return single.unionByName(folded)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = stored(found.select(F.col("doc_id").alias("_id")).distinct(), "leaks")
+    return docs.join(sized(gone), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data in the texts is replaced by its kind."""
     found = pii.detect(docs, redacted=True)
     length = F.length("redacted").cast(docs.schema["n_chars"].dataType)
-    return found.withColumns({"text": F.col("redacted"), "n_chars": length}).select(*docs.columns)
+    return found.withColumns({"text": F.col("redacted"), "n_chars": length}).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +54,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.emit(docs)
 
 
-STAGES = [("pii", redact), ("mixing", mix)]
+STAGES = [
+    ("toxicity", drop_toxic), ("near copies", drop_near_copies), ("benchmark", drop_leaks), ("personal data", redact), ("mixing", mix),
+]
 
 #: The stages draw on hashes, models and patterns that SQL does not express; tests hold them to brute force.
 ORACLE_SQL = None
@@ -33,5 +65,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return docs

@@ -121,17 +121,15 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest index reachable from each of n items by the links ``a``-``b``."""
     low = np.arange(n)
     while len(a):
-        m = np.minimum(low[a], low[b])
-        np.minimum.at(low, a, m)
-        np.minimum.at(low, b, m)
-        low = low[low]
+        # hook the larger root of each link to the smaller one, then point every item at its root
+        ra, rb = low[a], low[b]
+        np.minimum.at(low, np.maximum(ra, rb), np.minimum(ra, rb))
+        nxt = low[low]
+        while (nxt != low).any():
+            low, nxt = nxt, nxt[nxt]
         keep = low[a] != low[b]
         a, b = a[keep], b[keep]
-    while True:
-        nxt = low[low]
-        if (nxt == low).all():
-            return low
-        low = nxt
+    return low
 
 
 def known(column: Column | str) -> Column:

@@ -7,7 +7,7 @@ Probabilities are smoothed counts over labelled lines; Viterbi finds the likelie
 Transcripts may be long, so they are decoded in parts: each part sums up its paths as a matrix of best log
 probabilities between states, the parts of a transcript are chained (max and plus are associative), and each part is
 decoded between the states the chain found. The result is that of one pass over the whole transcript, but that the first
-line of a part does not see whether the line before it was blank.
+line of a part does not see whether the line before it was blank, and that equally likely paths may be told apart otherwise.
 """
 
 from __future__ import annotations

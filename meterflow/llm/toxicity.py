@@ -46,7 +46,7 @@ CLASSES = 28
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 _RUN = re.compile(r"(.)\1\1")
 _EDGES = " .,;:!?\"'()[]{}<>#%&$*/\\|=+-_~`^"
-_LEFT = _EDGES.replace("$", "").replace("!", "").replace("|", "").replace("(", "").replace("+", "").replace("*", "")
+_LEFT = _EDGES.replace("$", "").replace("!", "")
 
 
 def _class_of(c: str) -> int:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow.functions.paths import Path, column, find, quoted
+from meterflow.functions.values import shared_type, shown
 
 INPUT, TASK, TS, SEQ = "input_name", "task_name", "metric_ts", "seq"
 FIELD, METRIC, ATTRIBUTES = "metric_field", "metric", "attributes"
@@ -28,8 +29,8 @@ def attribute_schema(df: DataFrame) -> T.StructType:
 def field(df: DataFrame, name: str | None = None, sep: str = ".") -> tuple[Column, T.DataType]:
     """Column and type behind a field name; no name means the metric itself.
 
-    In a frame the name is an attribute path, or the name a metric was extracted under, which
-    addresses the metric; a row that has neither fails the job.
+    In a frame the name is the one a metric was extracted under, which addresses the metric, or an attribute path; a row
+    that has neither fails the job. A metric's own name wins over an equal attribute.
     """
     if name is None or (name == METRIC and METRIC in df.columns):
         return F.col(METRIC), df.schema[METRIC].dataType
@@ -39,9 +40,12 @@ def field(df: DataFrame, name: str | None = None, sep: str = ".") -> tuple[Colum
             raise ValueError(f"no field {name!r} in {df.columns}")
         return column(found[0]), found[1]
     found = find(attribute_schema(df), name, sep)
+    dtype = df.schema[METRIC].dataType
+    if found is not None and name in metric_fields(df):
+        attribute, kind = column((ATTRIBUTES, *found[0])), shared_type(dtype, found[1])
+        return F.when(F.col(FIELD) == name, shown(F.col(METRIC), dtype, kind)).otherwise(shown(attribute, found[1], kind)), kind
     if found is not None:
         return column((ATTRIBUTES, *found[0])), found[1]
-    dtype = df.schema[METRIC].dataType
     unknown = F.raise_error(F.lit(f"no field {name!r} in this metric")).cast(dtype)
     return F.when(F.col(FIELD) == name, F.col(METRIC)).otherwise(unknown), dtype
 
@@ -74,13 +78,22 @@ def set_field(df: DataFrame, name: str, value: Column, sep: str = ".") -> DataFr
     if name == METRIC and METRIC in df.columns:
         return df.withColumn(METRIC, value)
     known = metric_fields(df)
-    if name in known and not is_attribute(df, name, sep):
+    if name in known:
         if known == [name]:
             return df.withColumn(METRIC, value)
         own = F.col(FIELD) == name
-        return merge_fields(df.withColumn("_value", value), {name: F.when(~own, F.col("_value"))}).withColumn(
+        kept = column((ATTRIBUTES, *find(attribute_schema(df), name, sep)[0])) if is_attribute(df, name, sep) else F.lit(None)
+        changed = df.withColumn("_value", value)
+        return set_attribute(changed, name, F.when(~own, F.col("_value")).otherwise(kept), sep).withColumn(
             METRIC, F.when(own, F.col("_value")).otherwise(F.col(METRIC))
         ).drop("_value")
+    return set_attribute(df, name, value, sep)
+
+
+def set_attribute(df: DataFrame, name: str, value: Column, sep: str = ".") -> DataFrame:
+    """Write an attribute (or a column of a plain table), whatever the metrics are called."""
+    if name in metric_fields(df) and not is_attribute(df, name, sep):
+        return merge_fields(df, {name: value})
     base: Path = (ATTRIBUTES,) if is_frame(df) else ()
     schema = attribute_schema(df) if base else df.schema
     found = find(schema, name, sep)

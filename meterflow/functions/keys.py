@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.functions.paths import column
@@ -21,3 +21,12 @@ def require_unique(df: DataFrame, key: str, check: bool = True) -> DataFrame:
     twice = keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").agg(F.count("*")).scalar()
     duplicate = F.raise_error(F.lit(f"key {key} is not unique")).cast("boolean")
     return df.where(F.when(twice > 0, duplicate).otherwise(True))
+
+
+def null_spread(df: DataFrame, key: Column, parts: int = 1000) -> Column:
+    """A second join column: 0 for rows with a key, else one of ``parts`` numbers by the row's hash.
+
+    Rows without a key match nothing, so they need not meet in one partition. The other side has 0 throughout.
+    """
+    parts_of = F.pmod(F.xxhash64(*[column((c,)) for c in df.columns]), F.lit(parts)).cast("int") + 1
+    return F.when(key.isNotNull(), 0).otherwise(parts_of)

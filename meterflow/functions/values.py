@@ -56,6 +56,26 @@ def widest(types: Iterable[T.DataType]) -> T.DataType:
     return T.StringType()
 
 
+def shared_type(left: T.DataType | None, right: T.DataType) -> T.DataType:
+    """One type for values of two types: equal ones, numbers, else text."""
+    if left is None or left == right or isinstance(left, T.NullType):
+        return right
+    if isinstance(right, T.NullType):
+        return left
+    if isinstance(left, NUMBERS) and isinstance(right, NUMBERS):
+        return T.LongType() if isinstance(left, INTEGERS) and isinstance(right, INTEGERS) else T.DoubleType()
+    return T.StringType()
+
+
+def shown(value: Column, dtype: T.DataType, target: T.DataType | None) -> Column:
+    """A value of type ``dtype`` as ``target``; nulls stay null in text."""
+    if target is None or dtype == target:
+        return value
+    if isinstance(target, T.StringType):
+        return F.when(value.isNotNull(), text(value, dtype))
+    return value.cast(target)
+
+
 def truthy(value: Column, dtype: T.DataType) -> Column:
     """Python truth of a value: not null, not zero, not false, not empty."""
     if isinstance(dtype, T.BooleanType):

@@ -16,9 +16,12 @@ merge_fields = frame.merge_fields
 
 
 def flat_columns(
-    schema: T.StructType, sep: str = ".", max_array: int = 0, base: Path = ()
+    schema: T.StructType, sep: str = ".", max_array: int | None = None, base: Path = ()
 ) -> dict[str, Column]:
-    """Flat name to column for every leaf; arrays give ``max_array`` numbered columns."""
+    """Flat name to column for every leaf; arrays give ``max_array`` numbered columns, a longer one fails the job.
+
+    Without ``max_array`` arrays are refused, as columns cannot follow their lengths. Maps stay columns.
+    """
     flat: dict[str, Column] = {}
     for path, dtype in leaves(schema):
         _flatten_into(flat, sep.join(path), column((*base, *path)), dtype, sep, max_array)
@@ -26,9 +29,13 @@ def flat_columns(
 
 
 def _flatten_into(
-    flat: dict[str, Column], name: str, value: Column, dtype: T.DataType, sep: str, max_array: int
+    flat: dict[str, Column], name: str, value: Column, dtype: T.DataType, sep: str, max_array: int | None
 ) -> None:
     if isinstance(dtype, T.ArrayType):
+        if max_array is None:
+            raise ValueError(f"list {name!r} needs max_array, or flatten_array for any length")
+        longer = F.raise_error(F.lit(f"list {name} is longer than {max_array}")).cast(dtype)
+        value = F.when(F.size(value) > max_array, longer).otherwise(value)
         for i in range(max_array):
             _flatten_into(flat, f"{name}{sep}{i}", F.get(value, F.lit(i)), dtype.elementType, sep, max_array)
     elif isinstance(dtype, T.StructType):
@@ -38,11 +45,11 @@ def _flatten_into(
         flat[name] = value
 
 
-def flatten(df: DataFrame, sep: str = ".", max_array: int = 0) -> DataFrame:
+def flatten(df: DataFrame, sep: str = ".", max_array: int | None = None) -> DataFrame:
     """All nested leaves as top-level columns whose names are joined by ``sep``.
 
-    Column counts are fixed by the schema, so arrays need an upper length; use ``flatten_array``
-    for arrays of any length.
+    Column counts are fixed by the schema, so arrays need an upper length, and a longer one fails the job; use
+    ``flatten_array`` for arrays of any length.
     """
     flat = flat_columns(df.schema, sep, max_array)
     return df.select([c.alias(n) for n, c in flat.items()])
@@ -61,7 +68,7 @@ def flatten_array(
     )
 
 
-def flat_view(df: DataFrame, sep: str = ".", max_array: int = 0) -> dict[str, Column]:
+def flat_view(df: DataFrame, sep: str = ".", max_array: int | None = None) -> dict[str, Column]:
     """Flattened attributes of a metric frame, without the metric itself."""
     return flat_columns(frame.attribute_schema(df), sep, max_array, (frame.ATTRIBUTES,))
 

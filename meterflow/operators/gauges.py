@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
-from meterflow.functions.paths import column
+from meterflow.functions.paths import column, leaves
 from meterflow.functions.values import literal
 from meterflow.operators.flatten import flat_view, merged
+from meterflow.sinks.formats import entries
 
 
 def gauge_rows(
@@ -19,25 +20,37 @@ def gauge_rows(
     name_field: str | None = "sample_name",
     static: Mapping[str, object] | None = None,
     sep: str = ".",
-    max_array: int = 0,
 ) -> DataFrame:
     """Metrics as gauge samples: ``instrument, value, attributes, metric_ts[, seq]``.
 
     Attributes are the flattened metric attributes, then the static ones, then the name of the
-    metric field under ``name_field`` unless that is ``None``.
+    metric field under ``name_field`` unless that is ``None``. Where attributes hold lists or maps, whose entries are
+    named per row, all attributes are one map of texts, complete.
     """
     extra = {k: literal(v) for k, v in (static or {}).items()}
     if name_field:
         extra[name_field] = F.col(frame.FIELD)
     order = [c for c in (frame.TS, frame.SEQ) if c in df.columns]
+    nested = any(isinstance(t, (T.ArrayType, T.MapType)) for _, t in leaves(frame.attribute_schema(df)))
+    attributes = _text_map(df, extra, sep) if nested else merged(flat_view(df, sep), extra)
     return df.select(
         F.concat(F.lit(producer + "."), F.col(frame.TASK)).alias("instrument"),
         F.col(frame.METRIC).alias("value"),
-        merged(flat_view(df, sep, max_array), extra).alias("attributes"),
+        attributes.alias("attributes"),
         *order,
     )
 
 
+def _text_map(df: DataFrame, extra: Mapping[str, Column], sep: str) -> Column:
+    rows = [
+        entries(column((frame.ATTRIBUTES, *path)), dtype, F.lit(sep.join(path)), sep, lambda v, t: v.cast("string"))
+        for path, dtype in leaves(frame.attribute_schema(df))
+    ]
+    own = F.filter(F.concat(*rows), lambda e: ~e.getField("k").isin(*extra)) if extra else F.concat(*rows)
+    more = [F.struct(F.lit(n).alias("k"), c.cast("string").alias("v")) for n, c in extra.items()]
+    return F.map_from_entries(F.concat(own, F.array(*more)) if more else own)
+
+
 def last_value(df: DataFrame, series: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
     """Latest value of each series; later entries of ``order`` break ties, then the value itself.
 

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
-from meterflow.functions.keys import require_unique
+from meterflow.functions.keys import null_spread, require_unique
 from meterflow.functions.paths import column
-from meterflow.functions.values import b64, b64url, literal, truthy
+from meterflow.functions.values import b64, b64url, common_type, literal, shared_type, shown, truthy
 
 ENCODERS = {"b64": b64, "b64url": b64url}
 
@@ -57,7 +57,9 @@ def enrich(
         value = F.when(within, value)
     right = keyed_documents(dim, dim_key, check_unique)
     schema: T.StructType = right.schema["_doc"].dataType
-    left, on = df.withColumn("_lookup", value), ["_lookup"]
+    left, on = df.withColumn("_lookup", value), ["_lookup", "_spread"]
+    left = left.withColumn("_spread", null_spread(left, F.col("_lookup")))
+    right = right.withColumn("_spread", F.lit(0))
     if salts > 1:
         spread = F.xxhash64(*[column((c,)) for c in df.columns])
         left = left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
@@ -79,13 +81,17 @@ def enrich(
     else:
         types = {f.name: f.dataType for f in schema.fields}
         for name in include:
-            default = literal((defaults or {}).get(name))
+            default = (defaults or {}).get(name)
             if name not in types:
-                values[name] = default
+                values[name] = literal(default)
                 continue
             found = column(("_doc", name))
             usable = truthy(found, types[name]) if falsy_as_missing else found.isNotNull()
-            values[name] = F.when(usable, found).otherwise(default.cast(types[name]))
+            # a default of another type gives both one type
+            kind = types[name] if default is None or isinstance(default, (Mapping, list, tuple, Column)) else shared_type(types[name], common_type([default]))
+            text_default = isinstance(kind, T.StringType) and default is not None and not isinstance(default, (str, Column))
+            fallback = F.lit(str(default)) if text_default else literal(default).cast(kind)
+            values[name] = F.when(usable, shown(found, types[name], kind)).otherwise(fallback)
     if within is not None:
         known = _field_names(df)
         values = {n: F.when(within, v).otherwise(_own(df, n) if n in known else F.lit(None)) for n, v in values.items()}

@@ -9,15 +9,18 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
-from meterflow.functions.keys import require_unique
-from meterflow.functions.values import INTEGERS, NUMBERS, common_type, literal, text, truthy
+from meterflow.functions.keys import null_spread, require_unique
+from meterflow.functions.values import INTEGERS, NUMBERS, common_type, literal, shared_type, shown, text, truthy
 
+# Casts of the key, and what a missing key gives.
 CASTS = ("str", "int", "bool", "float")
-# larger dicts become a joined table instead of one CASE branch per key
-MAX_BRANCHES = 100
 MISSING = ("default", "original", "original_casted", "raise", "nothing")
 
 
+# keys that are compared one by one rather than joined; the result is the same
+BRANCHES = 100
+
+
 def map_values(
     df: DataFrame,
     mapping: Mapping | DataFrame,
@@ -34,7 +37,8 @@ def map_values(
     ``mapping`` is a dict of constants or, for large mappings, a DataFrame ``key, value`` with
     unique keys (checked), which is joined. Whether a key is present decides, not whether its value is null.
     A ``default`` other than ``None`` implies ``missing="default"``. Rows outside ``within`` keep
-    what the result field holds.
+    what the result field holds. Types, defaults and missing keys are the same for every size and form of mapping: up
+    to ``BRANCHES`` keys are branches of an expression, more are joined.
     """
     if cast is not None and cast not in CASTS:
         raise ValueError(f"cast must be one of {CASTS}")
@@ -47,30 +51,21 @@ def map_values(
     if result is None and frame.is_frame(df) and not frame.is_attribute(df, key, sep):
         target = frame.METRIC
 
-    if not isinstance(mapping, DataFrame) and len(mapping) > MAX_BRANCHES:
-        if None in mapping or any(isinstance(v, (dict, list)) for v in mapping.values()):
-            raise ValueError("a large mapping needs plain values and no None key")
-        pairs = [(_plain(k), v) for k, v in mapping.items() if _can_match(k, ktype)]
-        vtype = common_type(mapping.values()) or T.StringType()
-        schema = T.StructType([T.StructField("key", common_type(k for k, _ in pairs) or ktype), T.StructField("value", vtype)])
-        if isinstance(vtype, T.StringType):
-            pairs = [(k, v if v is None else str(v)) for k, v in pairs]
-        mapping = df.sparkSession.createDataFrame(pairs, schema)
+    # types and the value of missing keys do not depend on how the mapping is looked up
     if isinstance(mapping, DataFrame):
-        return _join(df, mapping, looked_up, target, original, default, missing, within, sep)
-
-    pairs = {k: v for k, v in mapping.items() if _can_match(k, ktype)}
-    constants = [*mapping.values(), *([default] if missing == "default" else [])]
-    vtype = _value_type(constants)
+        pairs, found_type = None, mapping.schema["value"].dataType
+        vtype = _constants_type([default], found_type) if missing == "default" else found_type
+    else:
+        pairs = {k: v for k, v in mapping.items() if _can_match(k, ktype)}
+        vtype = found_type = _value_type([*mapping.values(), *([default] if missing == "default" else [])])
     if missing in ("original", "original_casted"):
-        other = otype if missing == "original" else ktype
-        vtype = _least_common(vtype, other)
+        vtype = shared_type(vtype, otype if missing == "original" else ktype)
     if missing == "default":
         other = _typed(default, vtype)
     elif missing == "original":
-        other = _shown(original, otype, vtype)
+        other = shown(original, otype, vtype)
     elif missing == "original_casted":
-        other = _shown(looked_up, ktype, vtype)
+        other = shown(looked_up, ktype, vtype)
     elif missing == "raise":
         other = F.raise_error(F.concat(F.lit("no mapping for key "), text(looked_up, ktype)))
         other = other.cast(vtype) if vtype is not None else other
@@ -79,14 +74,53 @@ def map_values(
 
     # numbers and booleans compare by value; a null key only meets an explicit None
     test_key = looked_up.cast("int") if isinstance(ktype, T.BooleanType) else looked_up
-    branches = None
-    for k, v in pairs.items():
-        test = looked_up.isNull() if k is None else test_key == F.lit(_plain(k))
-        branches = (F if branches is None else branches).when(test, _typed(v, vtype))
-    mapped = other if branches is None else branches.otherwise(other)
+    if pairs is None:
+        df, hit, value = _joined(df, _table(mapping), test_key)
+        mapped = F.when(hit, shown(value, found_type, vtype)).otherwise(other)
+    elif len(pairs) > BRANCHES:
+        # the joined table holds positions, the values are the constants a short mapping has
+        keys = [k for k in pairs if k is not None]
+        df, hit, at = _joined(df, _positions(df, keys), test_key)
+        values = F.array(*[_typed(pairs[k], vtype) for k in keys])
+        mapped = F.when(hit, F.element_at(values, at + 1)).otherwise(other)
+        if None in pairs:
+            mapped = F.when(looked_up.isNull(), _typed(pairs[None], vtype)).otherwise(mapped)
+    else:
+        branches = None
+        for k, v in pairs.items():
+            test = looked_up.isNull() if k is None else test_key == F.lit(_plain(k))
+            branches = (F if branches is None else branches).when(test, _typed(v, vtype))
+        mapped = other if branches is None else branches.otherwise(other)
     if within is not None:
         mapped = F.when(within, mapped).otherwise(_current(df, target, vtype, sep))
-    return frame.set_field(df, target, mapped, sep)
+    return frame.set_field(df, target, mapped, sep).drop(*JOINED)
+
+
+# columns of a joined mapping
+JOINED = ("_map_on", "_map_spread", "_map_key", "_map_value", "_map_hit", "_map_part")
+
+
+def _table(mapping: DataFrame) -> DataFrame:
+    """A mapping table as ``_map_key, _map_value``; booleans compare as 0 and 1."""
+    key = F.col("key").cast("int") if isinstance(mapping.schema["key"].dataType, T.BooleanType) else F.col("key")
+    return require_unique(mapping, "key").select(key.alias("_map_key"), F.col("value").alias("_map_value"))
+
+
+def _positions(df: DataFrame, keys: list) -> DataFrame:
+    plain = [_plain(k) for k in keys]
+    kind = common_type(plain) or T.StringType()
+    schema = T.StructType([T.StructField("_map_key", kind), T.StructField("_map_value", T.IntegerType())])
+    rows = [(float(k) if isinstance(kind, T.DoubleType) else k, i) for i, k in enumerate(plain)]
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def _joined(df: DataFrame, side: DataFrame, key: Column) -> tuple[DataFrame, Column, Column]:
+    """A left join whose strategy Spark chooses from table sizes; null keys, which match nothing, are spread."""
+    left = df.withColumn("_map_on", key)
+    left = left.withColumn("_map_spread", null_spread(left, F.col("_map_on")))
+    side = side.select("_map_key", "_map_value", F.lit(True).alias("_map_hit"), F.lit(0).alias("_map_part"))
+    on = (F.col("_map_on") == F.col("_map_key")) & (F.col("_map_spread") == F.col("_map_part"))
+    return left.join(side, on, "left"), F.coalesce(F.col("_map_hit"), F.lit(False)), F.col("_map_value")
 
 
 def cast_key(value: Column, dtype: T.DataType, cast: str | None) -> tuple[Column, T.DataType]:
@@ -120,6 +154,11 @@ def _plain(key):
     return int(key) if isinstance(key, float) and key.is_integer() else key
 
 
+def _constants_type(values, known: T.DataType) -> T.DataType:
+    kind = _value_type(values)
+    return known if kind is None else shared_type(known, kind)
+
+
 def _value_type(values) -> T.DataType | None:
     nested = [v for v in values if isinstance(v, (dict, list))]
     if not nested:
@@ -127,48 +166,15 @@ def _value_type(values) -> T.DataType | None:
     return None if all(isinstance(v, (dict, list, type(None))) for v in values) else T.StringType()
 
 
-def _least_common(left: T.DataType | None, right: T.DataType) -> T.DataType:
-    if left is None or left == right:
-        return right
-    if isinstance(left, NUMBERS) and isinstance(right, NUMBERS):
-        return T.LongType() if isinstance(left, INTEGERS) and isinstance(right, INTEGERS) else T.DoubleType()
-    return T.StringType()
-
-
 def _typed(value, vtype: T.DataType | None) -> Column:
     if isinstance(vtype, T.StringType) and value is not None and not isinstance(value, str):
         return F.lit(str(value))
     return literal(value) if vtype is None else literal(value).cast(vtype)
 
 
-def _shown(value: Column, dtype: T.DataType, vtype: T.DataType | None) -> Column:
-    if isinstance(vtype, T.StringType) and not isinstance(dtype, T.StringType):
-        return F.when(value.isNotNull(), text(value, dtype))
-    return value if vtype is None else value.cast(vtype)
-
-
 def _current(df: DataFrame, target: str, vtype: T.DataType | None, sep: str) -> Column:
     """Value the result field already has, as text where the mapped values are."""
     value, dtype = frame.current(df, target, sep)
     if vtype is None or isinstance(dtype, T.NullType):
         return value
-    return _shown(value, dtype, _least_common(vtype, dtype))
-
-
-def _join(df, mapping, looked_up, target, original, default, missing, within, sep) -> DataFrame:
-    """Large mapping: a left join whose strategy is chosen from table sizes at run time."""
-    vtype = mapping.schema["value"].dataType
-    side = require_unique(mapping, "key").select(F.col("key").alias("_map_key"), F.col("value").alias("_map_value"), F.lit(True).alias("_map_hit"))
-    joined = df.withColumn("_key", looked_up).join(side, F.col("_key").eqNullSafe(F.col("_map_key")), "left")
-    if missing == "default":
-        other = F.lit(default).cast(vtype)
-    elif missing in ("original", "original_casted"):
-        other = (original if missing == "original" else F.col("_key")).cast(vtype)
-    elif missing == "raise":
-        other = F.raise_error(F.concat(F.lit("no mapping for key "), F.col("_key").cast("string"))).cast(vtype)
-    else:
-        other = _current(df, target, vtype, sep)
-    mapped = F.when(F.col("_map_hit"), F.col("_map_value")).otherwise(other)
-    if within is not None:
-        mapped = F.when(within, mapped).otherwise(_current(df, target, vtype, sep))
-    return frame.set_field(joined, target, mapped, sep).drop("_key", "_map_key", "_map_value", "_map_hit")
+    return shown(value, dtype, shared_type(vtype, dtype))

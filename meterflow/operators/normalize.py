@@ -50,8 +50,8 @@ def to_metrics(
     the attributes of every row of its record. ``attributes`` restricts the rest to exact
     top-level names and ``static`` values are merged over them. A table without any metric field is
     an error unless ``allow_none``. Null metrics are kept unless ``drop_absent`` says that null means
-    "field not present", as in JSON sources; a record left without metrics then gives no row, or
-    with ``allow_none`` one row without a metric.
+    "field not present", as in JSON sources; a record left without metrics then fails the job, or
+    with ``allow_none`` gives one row without a metric.
 
     Everything is resolved against the schema while the plan is built. One metric is a plain
     projection, so a later filter on it still reaches the scan; several are one unpivot.
@@ -80,6 +80,15 @@ def to_metrics(
     ids = [c.alias(n) for n, c in head.items()]
     ids.append(F.struct(*[c.alias(n) for n, c in kept.items()]).alias(frame.ATTRIBUTES))
 
+    for found, dtype in _attribute_types(df.schema, removed, attributes):
+        if isinstance(dtype, T.BinaryType):
+            raise ValueError(f"attribute {found!r} is binary, which no record can hold")
+    if drop_absent and not allow_none:
+        some = F.coalesce(*[column(p) for p, _ in chosen.values()]) if len({t for _, t in chosen.values()}) == 1 else F.coalesce(
+            *[column(p).cast("string") for p, _ in chosen.values()])
+        lost = F.raise_error(F.lit(f"a record has none of the metrics {list(chosen)}")).cast("boolean")
+        df = df.where(F.when(some.isNull(), lost).otherwise(True))
+
     mtype = widest(dtype for _, dtype in chosen.values())
     values = {n: _widen(column(p), t, mtype) for n, (p, t) in chosen.items()}
     if drop_absent and allow_none and chosen:
@@ -103,6 +112,11 @@ def to_metrics(
     return out.select([c for c in frame.COLUMNS if c in out.columns])
 
 
+def _attribute_types(schema: T.StructType, removed: set[Path], attributes: Sequence[str] | None) -> list[tuple[str, T.DataType]]:
+    kept = [(p, t) for p, t in leaves(schema) if p not in removed and (attributes is None or p[0] in attributes)]
+    return [(".".join(p), t) for p, t in kept]
+
+
 def _remaining(schema: T.StructType, removed: set[Path]) -> list[str]:
     gone = {
         f.name

@@ -16,14 +16,16 @@ def overlay(base: DataFrame, *overlays: DataFrame, key: str = "name", check_uniq
     appended, and lists of structs with a ``name`` field are merged by that name. With several
     overlays the first one listed is applied last and wins.
     """
-    for extension in reversed(overlays):
-        base = _overlay(base, extension, key, check_unique)
+    # each input is checked once; the full outer join of unique keys has unique keys
+    base, *rest = [require_unique(t, key, check_unique) for t in (base, *overlays)]
+    for extension in reversed(rest):
+        base = _overlay(base, extension, key)
     return base
 
 
-def _overlay(base: DataFrame, extension: DataFrame, key: str, check: bool) -> DataFrame:
-    left = require_unique(base, key, check).select(column((key,)).alias("_key"), F.struct(*map(_named, base.columns)).alias("_base"))
-    right = require_unique(extension, key, check).select(column((key,)).alias("_key"), F.struct(*map(_named, extension.columns)).alias("_ext"))
+def _overlay(base: DataFrame, extension: DataFrame, key: str) -> DataFrame:
+    left = base.select(column((key,)).alias("_key"), F.struct(*map(_named, base.columns)).alias("_base"))
+    right = extension.select(column((key,)).alias("_key"), F.struct(*map(_named, extension.columns)).alias("_ext"))
     types = {f.name: f.dataType for f in base.schema.fields}
     new = {f.name: f.dataType for f in extension.schema.fields}
     columns = []

@@ -2,71 +2,167 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
+from meterflow.functions.paths import Path, column, leaves
 from meterflow.functions.values import literal
-from meterflow.operators.flatten import flat_columns, flat_view
 from meterflow.operators.timeops import epoch_micros
 
 # nulls stay visible in the output
 _JSON = {"ignoreNullFields": "false"}
 
 
-# more metric fields than this are written through the general path only
-MAX_TYPED_FIELDS = 4
+def _leaves(df: DataFrame, sep: str) -> dict[str, tuple[Column, T.DataType]]:
+    """Flat name to column and type; lists and maps are leaves here, their entries are named per row."""
+    base: Path = (frame.ATTRIBUTES,) if frame.is_frame(df) else ()
+    schema = frame.attribute_schema(df) if base else df.schema
+    return {sep.join(path): (column((*base, *path)), dtype) for path, dtype in leaves(schema)}
 
 
-def per_field(df: DataFrame, typed: Callable[[str], Column], general: Column) -> Column:
-    """One branch per metric field the plan knows, where the record is an ordinary struct, and a
-    general expression for rows with any other field. A constant field leaves a single branch.
+def entries(value: Column, dtype: T.DataType, name: Column, sep: str, show: Callable[[Column, T.DataType], Column]) -> Column:
+    """Array of ``(k, v)`` for a value of any depth: list elements by position, map entries and fields by name.
+
+    A missing list or map is one entry without value; an empty one has none.
     """
-    fields = frame.metric_fields(df)
-    if not 0 < len(fields) <= MAX_TYPED_FIELDS:
-        return general
-    branches = F
-    for name in fields:
-        branches = branches.when(F.col(frame.FIELD) == name, typed(name))
-    return branches.otherwise(general)
+    if isinstance(dtype, T.ArrayType):
+        below = F.transform(value, lambda x, i: entries(x, dtype.elementType, F.concat(name, F.lit(sep), i.cast("string")), sep, show))
+    elif isinstance(dtype, T.MapType):
+        below = F.transform(F.map_entries(value), lambda e: entries(
+            e.getField("value"), dtype.valueType, F.concat(name, F.lit(sep), e.getField("key").cast("string")), sep, show))
+    elif isinstance(dtype, T.StructType):
+        parts = [entries(value.getField(f.name), f.dataType, F.concat(name, F.lit(sep + f.name)), sep, show) for f in dtype.fields]
+        return F.concat(*parts) if parts else F.array().cast("array<struct<k:string,v:string>>")
+    else:
+        return F.array(F.struct(name.alias("k"), show(value, dtype).alias("v")))
+    none = F.array(F.struct(name.alias("k"), show(F.lit(None).cast("string"), T.StringType()).alias("v")))
+    return F.coalesce(F.flatten(below), none)
 
 
-def flat_json(df: DataFrame, extra: Mapping[str, Column] | None = None, sep: str = ".", max_array: int = 0) -> Column:
-    """Flat record of each row as JSON text: the metric under its field's name, then the attributes.
+def _shown_json(value: Column, dtype: T.DataType) -> Column:
+    """JSON text of one scalar."""
+    text = F.to_json(F.struct(value.alias("v")), _JSON)
+    return F.substr(text, F.lit(6), F.length(text) - 6)
 
-    Tables without the frame layout give their flattened columns.
-    """
-    if not frame.is_frame(df):
-        return _json(flat_columns(df.schema, sep, max_array) | dict(extra or {}))
-    flat = flat_view(df, sep, max_array) | dict(extra or {})
-    return per_field(df, lambda name: _json({name: F.col(frame.METRIC)} | flat), _joined(flat))
 
+def _bare(record: Column) -> Column:
+    """Entries of a JSON object text, without its braces."""
+    return F.substr(record, F.lit(2), F.length(record) - 2)
 
-def _joined(flat: Mapping[str, Column]) -> Column:
-    """Record of a metric whose field name is only known per row, joined as text."""
-    own = F.to_json(F.create_map(F.col(frame.FIELD), F.col(frame.METRIC)), _JSON)
-    if not flat:
-        return F.when(F.col(frame.FIELD).isNull(), "{}").otherwise(own)
-    rest = _json(flat)
-    # the value is a number, boolean or text, so a single brace ends the metric's own object
-    both = F.concat(F.rtrim(own, F.lit("}")), F.lit(","), F.substr(rest, F.lit(2)))
-    return F.when(F.col(frame.FIELD).isNull(), rest).otherwise(both)
 
+def _own() -> Column:
+    """Entry of the metric under its field's name; null for a row without a metric."""
+    return F.when(F.col(frame.FIELD).isNotNull(), _bare(F.to_json(F.create_map(F.col(frame.FIELD), F.col(frame.METRIC)), _JSON)))
 
-def _json(fields: Mapping[str, Column]) -> Column:
-    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), _JSON)
 
+def _pair(entry: Column) -> Column:
+    name = F.to_json(F.struct(entry.getField("k").alias("k")))
+    return F.concat(F.substr(name, F.lit(6), F.length(name) - 6), F.lit(":"), entry.getField("v"))
 
-def _sorted(fields: Mapping[str, Column]) -> dict[str, Column]:
-    return {k: fields[k] for k in sorted(fields)}
+
+def record_text(df: DataFrame, extra: Mapping[str, Column] | None = None, sep: str = ".", ordered: bool = False) -> Column:
+    """Flat record of each row as JSON text: the metric under its field's name and the attributes, complete.
+
+    A metric wins over an attribute of its name. ``ordered`` sorts the keys, else the metric comes first. Scalars that
+    stand together are one JSON writer; only lists and maps, whose names depend on the row, are handled one by one.
+    """
+    found = _leaves(df, sep) | {n: (c, None) for n, c in (extra or {}).items()}
+    framed = frame.is_frame(df)
+    known = frame.metric_fields(df)
+    nested = {n for n, (_, t) in found.items() if isinstance(t, (T.ArrayType, T.MapType))}
+    if ordered and nested:
+        return _sorted_text(found, framed, sep)
+    if ordered:
+        text = _merged_text(found, known, framed)
+        # a row whose metric took another name than the plan knows
+        return F.when(F.col(frame.FIELD).isin(known), text).otherwise(_sorted_text(found, framed, sep)) if framed and known else text
+
+    segments: list[Column] = []
+    run: dict[str, Column] = {}
+    if framed and len(known) == 1 and known[0] not in found:
+        # one writer for the metric and what follows it, on rows of that name
+        head = {n: c for n, (c, t) in _until(found, nested).items()}
+        rest = {n: v for n, v in found.items() if n not in head}
+        fast = _bare(_json({known[0]: F.col(frame.METRIC)} | head))
+        slow = F.concat_ws(",", _own(), *([_bare(_json(head))] if head else []))
+        segments.append(F.when(F.col(frame.FIELD) == known[0], fast).otherwise(slow))
+        found = rest
+    elif framed:
+        segments.append(_own())
+
+    def flush() -> None:
+        if run:
+            segments.append(_bare(_json(run)))
+            run.clear()
+
+    for name, (value, dtype) in found.items():
+        if name in nested:
+            flush()
+            rows = entries(value, dtype, F.lit(name), sep, _shown_json)
+            if framed:
+                rows = F.filter(rows, lambda e: ~e.getField("k").eqNullSafe(F.col(frame.FIELD)))
+            segments.append(F.nullif(F.array_join(F.transform(rows, _pair), ","), F.lit("")))
+        elif framed and (name in known or not known):
+            flush()
+            segments.append(F.when(~F.col(frame.FIELD).eqNullSafe(F.lit(name)), _bare(_json({name: value}))))
+        else:
+            run[name] = value
+    flush()
+    return F.concat(F.lit("{"), F.concat_ws(",", *segments), F.lit("}")) if segments else F.lit("{}")
+
+
+def _until(found: Mapping[str, tuple], nested: set[str]) -> dict[str, tuple]:
+    head = {}
+    for name, value in found.items():
+        if name in nested:
+            break
+        head[name] = value
+    return head
+
+
+def _merged_text(found: Mapping[str, tuple], known: Sequence[str], framed: bool) -> Column:
+    """Sorted record of scalars: the metric is put where each name it may have belongs."""
+    segments: list[Column] = []
+    run: dict[str, Column] = {}
+    places = set(known if known else found) if framed else set()
+    for name in sorted({*found, *places}):
+        if name in places:
+            if run:
+                segments.append(_bare(_json(run)))
+                run = {}
+            entry = _bare(_json({name: found[name][0]})) if name in found else F.lit(None).cast("string")
+            segments.append(F.when(F.col(frame.FIELD) == name, _own()).otherwise(entry))
+        else:
+            run[name] = found[name][0]
+    if run:
+        segments.append(_bare(_json(run)))
+    if framed and not known:
+        return _sorted_text(found, framed, ".")
+    return F.concat(F.lit("{"), F.concat_ws(",", *segments), F.lit("}")) if segments else F.lit("{}")
+
+
+def _sorted_text(found: Mapping[str, tuple], framed: bool, sep: str) -> Column:
+    """Sorted record of any attributes, entry by entry."""
+    rows = [entries(value, dtype if dtype is not None else T.StringType(), F.lit(name), sep, _shown_json) for name, (value, dtype) in found.items()]
+    every = F.concat(*rows) if rows else F.array().cast("array<struct<k:string,v:string>>")
+    if framed:
+        every = F.filter(every, lambda e: ~e.getField("k").eqNullSafe(F.col(frame.FIELD)))
+        own = F.struct(F.col(frame.FIELD).alias("k"), _shown_json(F.col(frame.METRIC), T.StringType()).alias("v"))
+        every = F.when(F.col(frame.FIELD).isNull(), every).otherwise(F.concat(every, F.array(own)))
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(every), _pair), ","), F.lit("}"))
 
 
-def json_lines(df: DataFrame, width: int | None = None, sep: str = ".", max_array: int = 0) -> DataFrame:
+def _json(fields: Mapping[str, Column]) -> Column:
+    return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]), _JSON)
+
+
+def json_lines(df: DataFrame, width: int | None = None, sep: str = ".") -> DataFrame:
     """One JSON text per row in ``value``; longer than ``width`` characters is cut with ``...``."""
-    line = flat_json(df, sep=sep, max_array=max_array)
+    line = record_text(df, sep=sep)
     if width is not None:
         cut = F.concat(F.substring(line, 1, width - 3), F.lit("..."))
         line = F.when(F.length(line) > width, cut).otherwise(line)
@@ -91,15 +187,13 @@ def envelope(
     static: Mapping[str, object] | None = None,
     name_field: str | None = None,
     sep: str = ".",
-    max_array: int = 0,
 ) -> DataFrame:
     """One envelope per metric as JSON text with sorted keys, in ``value``.
 
     The flat record is under ``data``; ``static`` keys replace envelope keys of the same name.
-    ``name_field`` adds the name of the metric field to the record. Where the field name is only
-    known per row, the record passes through the variant type, which orders keys by name.
+    ``name_field`` adds the name of the metric field to the record.
     """
-    flat = flat_view(df, sep, max_array) | ({name_field: F.col(frame.FIELD)} if name_field else {})
+    data = record_text(df, {name_field: F.col(frame.FIELD)} if name_field else None, sep, ordered=True)
     micros = epoch_micros(F.col(frame.TS), df.schema[frame.TS].dataType)
     outer = {
         "producer": F.lit(producer),
@@ -111,14 +205,13 @@ def envelope(
     }
     fixed = {k: literal(v) for k, v in (static or {}).items()}
 
-    def text(data: Column) -> Column:
-        return _json(_sorted(outer | {"data": data} | fixed))
-
-    def typed(name: str) -> Column:
-        fields = _sorted({name: F.col(frame.METRIC)} | flat)
-        return text(F.struct(*[c.alias(n) for n, c in fields.items()]))
-
-    value = per_field(df, typed, text(F.parse_json(_joined(flat))))
+    every = outer | {"data": None} | fixed
+    names = sorted(every)
+    cut = names.index("data") if every["data"] is None else len(names)
+    segments = [_bare(_json({n: every[n] for n in part})) for part in (names[:cut], names[cut + 1:]) if part]
+    if every["data"] is None:
+        segments.insert(1 if cut else 0, F.concat(F.lit('"data":'), data))
+    value = F.concat(F.lit("{"), F.concat_ws(",", *segments), F.lit("}"))
     order = [frame.SEQ] if frame.SEQ in df.columns else []
     return df.select(*order, value.alias("value"))
 
@@ -130,8 +223,8 @@ def utc_text(ts: Column, dtype: T.DataType) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
-def documents(df: DataFrame, ts_field: str | None = None, sep: str = ".", max_array: int = 0) -> DataFrame:
+def documents(df: DataFrame, ts_field: str | None = None, sep: str = ".") -> DataFrame:
     """One document per metric as JSON text in ``value``, optionally holding its timestamp."""
     extra = {ts_field: utc_text(F.col(frame.TS), df.schema[frame.TS].dataType)} if ts_field else {}
     order = [frame.SEQ] if frame.SEQ in df.columns else []
-    return df.select(*order, flat_json(df, extra, sep, max_array).alias("value"))
+    return df.select(*order, record_text(df, extra, sep).alias("value"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -24,10 +25,15 @@ def read_text(spark: SparkSession, path: str, field: str = "message") -> DataFra
 def infer_json_type(df: DataFrame, name: str) -> T.DataType:
     """Merged type of all documents in a JSON text column, decimals widened to double.
 
-    One pass over the column with map-side combining; only the type reaches the driver.
+    One pass over the column with map-side combining; only the type reaches the driver. Malformed documents fail it.
     """
-    shape = df.agg(F.schema_of_variant_agg(F.try_parse_json(column((name,)))).alias("t")).first()["t"]
-    return _widened(T._parse_datatype_string(shape.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING")))
+    shape = df.agg(F.schema_of_variant_agg(F.parse_json(column((name,)))).alias("t")).first()["t"]
+    return _widened(T._parse_datatype_string(_SHAPE.sub(lambda m: _TYPES.get(m.group(), m.group()), shape)))
+
+
+# type words of a variant's shape; quoted names and names before a colon are no types
+_SHAPE = re.compile(r"`(?:[^`]|``)*`|\bOBJECT(?=<)|\bVOID\b(?!\s*:)")
+_TYPES = {"OBJECT": "STRUCT", "VOID": "STRING"}
 
 
 def _widened(dtype: T.DataType) -> T.DataType:
@@ -39,21 +45,25 @@ def _widened(dtype: T.DataType) -> T.DataType:
 
 
 def json_records(
-    df: DataFrame, name: str, schema: T.StructType | str | None = None, keep: Sequence[str] = ()
+    df: DataFrame, name: str, schema: T.StructType | str | None = None, keep: Sequence[str] = (), malformed: str = "fail"
 ) -> DataFrame:
-    """Records of a JSON text column; an array gives one record per element.
+    """Records of a JSON text column; an array gives one record per element, a null document none.
 
-    Without a schema the column is read once more to derive it from all documents.
+    A malformed document, or one that does not fit the schema, fails the job; ``malformed="drop"`` leaves it out.
+    Without a schema the column is read once more to derive it from all documents: give one for large tables.
     """
+    if malformed not in ("fail", "drop"):
+        raise ValueError("malformed must be fail or drop")
     if schema is None:
-        schema = infer_json_type(df, name)
+        known = df if malformed == "fail" else df.where(F.try_parse_json(column((name,))).isNotNull())
+        schema = infer_json_type(known, name)
     elif isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
     element = schema.elementType if isinstance(schema, T.ArrayType) else schema
     if not isinstance(element, T.StructType):
         raise ValueError("records are JSON objects")
     # an array schema also accepts a single object
-    parsed = F.from_json(column((name,)), T.ArrayType(element))
+    parsed = F.from_json(column((name,)), T.ArrayType(element), {"mode": "FAILFAST" if malformed == "fail" else "PERMISSIVE"})
     rows = df.select(*[column((k,)) for k in keep], F.explode(parsed).alias("_record"))
     return rows.select(*[column((k,)) for k in keep], "_record.*")
 

@@ -14,6 +14,8 @@ from meterflow.operators.timeops import floor_time, moment
 # Outcomes of a run, and the standard log levels with their numbers.
 RESULTS = ("okay", "skipped", "failed")
 LEVELS = {"NOTSET": 0, "DEBUG": 10, "INFO": 20, "WARNING": 30, "ERROR": 40, "CRITICAL": 50}
+# Other names of the same levels.
+LEVEL_ALIASES = {"WARN": "WARNING", "FATAL": "CRITICAL"}
 
 
 def run_summary(
@@ -72,20 +74,22 @@ def level_summary(
 ) -> DataFrame:
     """Messages per level from ``min_level`` up, every such level present even with no message.
 
-    ``level`` is a column of level names or numbers. With ``start`` and ``end`` only messages of
+    ``level`` is a column of level names, their aliases or numbers; other names count nowhere. With ``start`` and ``end`` only messages of
     that interval count and the rows carry its bounds. The levels are known, so this is one row of
     conditional counts, unfolded.
     """
-    shown = {n: v for n, v in levels.items() if v >= levels[min_level.upper()]}
+    numbers = {**{a: levels[n] for a, n in LEVEL_ALIASES.items() if n in levels}, **levels}
+    shown = {n: v for n, v in levels.items() if v >= numbers[min_level.upper()]}
     by_name = logs.schema[level].dataType.typeName() == "string"
+    number = F.element_at(F.create_map(*[F.lit(x) for kv in numbers.items() for x in kv]), F.upper(F.col(level))) if by_name else F.col(level)
     bounds = []
     if start is not None and end is not None:
         first, last = _bounds(logs, ts, start, end)
         logs = logs.where((F.col(ts) >= first) & (F.col(ts) < last))
         bounds = [first.alias("timestamp_from"), last.alias("timestamp_to")]
     counts = [
-        F.count_if((F.upper(F.col(level)) == n) if by_name else (F.col(level) == v)).alias(f"_{v}")
-        for n, v in shown.items()
+        F.count_if(number == v).alias(f"_{v}")
+        for v in shown.values()
     ]
     rows = F.array(*[
         F.struct(F.col(f"_{v}").alias("metric"), F.lit("log").alias("metric_type"), F.lit(v).alias("log_level"))

@@ -12,10 +12,13 @@ from pyspark.sql.streaming import DataStreamWriter
 def read_topic(
     spark: SparkSession, schema: T.StructType | str, format: str = "kafka", options: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Stream of JSON messages; the source must have a ``value`` column, as Kafka and text have."""
+    """Stream of JSON messages; the source must have a ``value`` column, as Kafka and text have.
+
+    A malformed message fails the query; a null one, as Kafka uses for deletions, gives no record.
+    """
     stream = spark.readStream.format(format).options(**dict(options or {})).load()
-    message = F.from_json(F.col("value").cast("string"), schema)
-    return stream.select(message.alias("_message")).where("_message IS NOT NULL").select("_message.*")
+    message = F.from_json(F.col("value").cast("string"), schema, {"mode": "FAILFAST"})
+    return stream.where("value IS NOT NULL").select(message.alias("_message")).select("_message.*")
 
 
 def write_topic(

@@ -57,9 +57,13 @@ def test_json_payloads(spark, tmp_path):
 def test_json_columns(spark):
     texts = ['[{"a": 1}, {"a": 2.5, "b": {"c": [1]}}]', '[]', '[{"b": {"d": "x"}}]', "not json", None]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, doc string")
-    kind = infer_json_type(df, "doc")
+    with pytest.raises(Exception, match="MALFORMED"):
+        infer_json_type(df, "doc")
+    with pytest.raises(Exception, match="MALFORMED"):
+        json_records(df, "doc", "array<struct<a:double>>").collect()
+    kind = infer_json_type(df.where("id <> 3"), "doc")
     assert kind.simpleString() == "array<struct<a:double,b:struct<c:array<bigint>,d:string>>>"
-    got = [(r["id"], r["a"], r["b"] and r["b"]["d"]) for r in json_records(df, "doc", keep=["id"]).collect()]
+    got = [(r["id"], r["a"], r["b"] and r["b"]["d"]) for r in json_records(df, "doc", keep=["id"], malformed="drop").collect()]
     assert got == [(0, 1.0, None), (0, 2.5, None), (2, None, "x")]
     single = spark.createDataFrame([('{"a": 1}',), ('[{"a": 2}, {"a": 3}]',)], "doc string")
     assert values(json_records(single, "doc", "a INT"), "a") == [1, 2, 3]
@@ -303,7 +307,7 @@ def test_interval_counts_equal_batch(spark, tmp_path):
 
 def test_topics(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.txt").write_text('{"metric": 1, "k": "x"}\nbroken\n{"metric": 2, "k": "y"}\n')
+    (tmp_path / "in" / "a.txt").write_text('{"metric": 1, "k": "x"}\n{"metric": 2, "k": "y"}\n')
     stream = read_topic(spark, "metric INT, k STRING", "text", {"path": str(tmp_path / "in")})
     frame = to_metrics(stream, "t", ts=F.lit(AT), drop_absent=True)
     sent = write_topic(json_lines(frame), str(tmp_path / "cp"), "text", {"path": str(tmp_path / "out")})

@@ -101,6 +101,8 @@ def test_nulls_kept_or_absent(spark):
     df = spark.createDataFrame([(None, 1), (2, None)], "a int, b int")
     assert len(rows(to_metrics(df, "t", ["a", "b"]))) == 4
     assert [r["metric"] for r in rows(to_metrics(df, "t", ["a", "b"], drop_absent=True))] == [1, 2]
+    with pytest.raises(Exception, match="none of the metrics"):
+        rows(to_metrics(df.where("b IS NULL AND a IS NULL").union(spark.createDataFrame([(None, None)], df.schema)), "t", ["a", "b"], drop_absent=True))
 
 
 def test_absent_everywhere(spark):
@@ -144,7 +146,11 @@ def test_flatten(spark):
     out = flatten(df, max_array=3)
     assert out.columns == ["a", "b", "c.0", "c.1", "c.2", "d.e", "d.f.g", "h.i.j"]
     assert list(out.first()) == [1, True, 1, 2, 3, 1.5, False, -1]
-    assert flatten(df, sep="#").columns == ["a", "b", "d#e", "d#f#g", "h.i#j"]
+    assert flatten(df.drop("c"), sep="#").columns == ["a", "b", "d#e", "d#f#g", "h.i#j"]
+    with pytest.raises(ValueError):
+        flatten(df)
+    with pytest.raises(Exception, match="longer than 2"):
+        flatten(df, max_array=2).collect()
 
 
 def test_flatten_lists_of_records(spark):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window, types as T
 from pyspark.sql import functions as F
@@ -85,9 +85,9 @@ def _key(df: DataFrame, level: Level) -> Column:
         step = F.lit(float(level.interval))
         return F.floor(value / step) * step
     if isinstance(level, DateHistogram):
-        if level.interval.isalpha():
-            return F.date_trunc(level.interval, value)
         dtype = df.select(value.alias("v")).schema["v"].dataType
+        if level.interval.isalpha():
+            return F.date_trunc(level.interval, value).cast(dtype)
         return floor_time(value, dtype, level.interval)
     return value
 
@@ -107,19 +107,23 @@ def bucket_agg(
 
     Everything is one grouping with map-side combining, so a hot key costs one partial row per
     task. A last level of named filters is computed by conditional aggregates instead of
-    multiplying rows. Only a ``top_n`` on an outer level reads the input a second time.
+    multiplying rows. ``top_n`` and ``keep_empty`` work on the grouped rows, so the input is read once; only named
+    filters above the last level, kept when empty, group by every prefix.
     """
     metrics = dict(metrics or {})
     if not levels:
         raise ValueError("bucket_agg needs at least one level; see root_agg")
-    df = _limit_outer_levels(df, levels)
+    limits = _outer_limits(levels)
     keys = [f"_level_{i}" for i in range(len(levels))]
     if isinstance(levels[-1], Filters) and (not keep_empty or len(levels) == 1):
-        out = _filters_last(df, levels, keys, metrics)
+        out = _filters_last(df, levels, keys, metrics, limits)
+    elif keep_empty and any(isinstance(level, Filters) for level in levels):
+        keyed, hit = _with_keys(_limit_outer_levels(df, levels), levels, keys, keep_empty)
+        out = _with_empty(keyed, levels, keys, metrics, hit)
+    elif keep_empty:
+        out = _kept_empty(_with_keys(df, levels, keys, False)[0], keys, metrics, limits)
     else:
-        keyed, hit = _with_keys(df, levels, keys, keep_empty)
-        group = _with_empty if keep_empty else _grouped
-        out = group(keyed, levels, keys, metrics, hit)
+        out = _grouped(_with_keys(df, levels, keys, False)[0], keys, metrics, limits)
     last = levels[-1]
     if isinstance(last, Terms) and last.top_n:
         out = _top(out, keys, last.top_n)
@@ -143,12 +147,55 @@ def _with_keys(
     return df, hit
 
 
-def _grouped(
-    keyed: DataFrame, levels: Sequence[Level], keys: Sequence[str], metrics: Mapping[str, Metric], hit: Column | None
-) -> DataFrame:
-    for key in keys:
+def _grouped(keyed: DataFrame, keys: Sequence[str], metrics: Mapping[str, Metric], limits: Mapping[int, int]) -> DataFrame:
+    # rows without a deeper key count for the buckets above them, which a limit ranks
+    for key in keys[: max(limits) + 1] if limits else keys:
         keyed = keyed.where(F.col(key).isNotNull())
-    return keyed.groupBy(*keys).agg(F.count("*").alias(DOC_COUNT), *_measures(metrics, hit))
+    out = _limited(keyed.groupBy(*keys).agg(F.count("*").alias(DOC_COUNT), *_measures(metrics)), keys, limits, DOC_COUNT)
+    for key in keys if limits else ():
+        out = out.where(F.col(key).isNotNull())
+    return out
+
+
+def _outer_limits(levels: Sequence[Level]) -> dict[int, int]:
+    """``top_n`` by depth, of the levels above the last."""
+    limits = {d: level.top_n for d, level in enumerate(levels[:-1]) if isinstance(level, Terms) and level.top_n}
+    if any(isinstance(u, Filters) for d in limits for u in levels[:d]):
+        raise ValueError("top_n below named filters is only supported on the last level")
+    return limits
+
+
+def _limited(grouped: DataFrame, keys: Sequence[str], limits: Mapping[int, int], count: str, keep_null: bool = False) -> DataFrame:
+    """The grouped rows of the largest buckets at each limited depth; equal counts are ordered by key.
+
+    Counts of outer buckets are sums of the groups below them. Each task passes on the rows of its own largest buckets
+    only (Spark limits ranks before the shuffle), so ranking the outermost level moves few rows.
+    """
+    for depth, n in sorted(limits.items()):
+        key = F.col(keys[depth])
+        grouped = grouped if keep_null else grouped.where(key.isNotNull())
+        total = F.sum(count).over(Window.partitionBy(*keys[: depth + 1]))
+        grouped = grouped.withColumn("_total", F.when(key.isNotNull(), total))
+        order = [F.col("_total").desc_nulls_last(), key.asc_nulls_last()]
+        window = (Window.partitionBy(*keys[:depth]) if depth else Window).orderBy(*order)
+        grouped = grouped.withColumn("_rank", F.dense_rank().over(window))
+        inside = F.col("_rank") <= n
+        grouped = grouped.where(inside | key.isNull() if keep_null else inside).drop("_total", "_rank")
+    return grouped
+
+
+def _kept_empty(keyed: DataFrame, keys: Sequence[str], metrics: Mapping[str, Metric], limits: Mapping[int, int]) -> DataFrame:
+    """Group once by the full key; a missing child stays where its bucket has no other."""
+    keyed = keyed.where(F.col(keys[0]).isNotNull())
+    for above, key in zip(keys, keys[1:]):
+        keyed = keyed.withColumn(key, F.when(F.col(above).isNotNull(), F.col(key)))
+    out = keyed.groupBy(*keys).agg(F.count("*").alias(DOC_COUNT), *_measures(metrics))
+    out = _limited(out, keys, limits, DOC_COUNT, keep_null=True)
+    for depth in range(1, len(keys)):
+        children = F.count(keys[depth]).over(Window.partitionBy(*keys[:depth]))
+        out = out.withColumn("_children", children)
+        out = out.where(F.col(keys[depth]).isNotNull() | (F.col("_children") == 0)).drop("_children")
+    return out
 
 
 def _with_empty(
@@ -212,18 +259,20 @@ def _explode_filters(
 
 
 def _filters_last(
-    df: DataFrame, levels: Sequence[Level], keys: Sequence[str], metrics: Mapping[str, Metric]
+    df: DataFrame, levels: Sequence[Level], keys: Sequence[str], metrics: Mapping[str, Metric], limits: Mapping[int, int]
 ) -> DataFrame:
     """Outer levels as grouping keys, and one conditional aggregate per named filter."""
     df, _ = _with_keys(df, levels[:-1], keys, False)
-    for key in keys[:-1]:
+    for key in keys[: max(limits) + 1] if limits else keys[:-1]:
         df = df.where(F.col(key).isNotNull())
     tests = _tests(levels[-1])
     aggregates = [F.count("*").alias("_all")]
     for i, test in enumerate(tests.values()):
         aggregates.append(F.count_if(test).alias(f"_n_{i}"))
         aggregates += [measure(spec, test).alias(f"_m_{i}_{j}") for j, spec in enumerate(metrics.values())]
-    grouped = df.groupBy(*keys[:-1]).agg(*aggregates)
+    grouped = _limited(df.groupBy(*keys[:-1]).agg(*aggregates), keys[:-1], limits, "_all")
+    for key in keys[:-1] if limits else ():
+        grouped = grouped.where(F.col(key).isNotNull())
     rows = F.array(*[
         F.struct(
             F.lit(n).alias(keys[-1]), F.col(f"_n_{i}").alias(DOC_COUNT),
@@ -245,13 +294,12 @@ def _top(buckets: DataFrame, keys: Sequence[str], top_n: int) -> DataFrame:
 
 
 def _limit_outer_levels(df: DataFrame, levels: Sequence[Level]) -> DataFrame:
-    """Rows of the largest buckets of every outer level that has a ``top_n``."""
+    """Rows of the largest buckets of every outer level that has a ``top_n``, by reading the input again."""
     for depth, level in enumerate(levels[:-1]):
         if isinstance(level, Terms) and level.top_n:
             upper = list(levels[: depth + 1])
-            if any(isinstance(u, Filters) for u in upper):
-                raise ValueError("top_n below named filters is only supported on the last level")
-            top = bucket_agg(df, upper).select([F.col(quote(u.name)).alias(f"_top_{i}") for i, u in enumerate(upper)])
+            # the levels above are limited already
+            top = bucket_agg(df, [*[replace(u, top_n=None) if isinstance(u, Terms) else u for u in upper[:-1]], level]).select([F.col(quote(u.name)).alias(f"_top_{i}") for i, u in enumerate(upper)])
             own = {f"_own_{i}": _key(df, u) for i, u in enumerate(upper)}
             test = all_of([F.col(f"_own_{i}") == F.col(f"_top_{i}") for i in range(len(upper))])
             df = df.withColumns(own).join(top, test, "left_semi").drop(*own)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.llm.shared import known, sized, stored
+from meterflow.llm.shared import known, shared_dir, sized, stored
 
 # fixed values: elements of HTML by their role
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -225,6 +225,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", html
     template: its slots are chosen by path alone. Repeated rows are one page of the host, and repeat in the result. An
     empty table gives no rows. Nothing inside an article is left out for being repeated.
     """
+    shared_dir(pages.sparkSession)
     rows = pages.select(F.col(f"`{id_column}`").alias("page"), F.col(f"`{url}`").alias("url"), known(F.col(f"`{html}`")).alias("html"))
     named = rows.select(host_of(F.col("url")).alias("host"), F.xxhash64("page", "url", "html").alias("page"), "html")
     tokens = named.mapInArrow(_tokens, "host string, page bigint, path string, block bigint, n int").distinct()

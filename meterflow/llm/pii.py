@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterflow.llm.shared import shared_dir
+
 # fixed values: the patterns of the kinds, in the order of the digest
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
@@ -122,6 +124,7 @@ def detect(docs: DataFrame, id_column: str = "doc_id", text: str = "text", thres
     spans, repeated rows repeat. With ``redacted`` the column ``redacted`` has the text with spans replaced (null for
     null) and every column of ``docs`` stays; the added names must not be among them.
     """
+    shared_dir(docs.sparkSession)
     if redacted:
         keep = docs.columns
         if {"pii", "redacted"} & set(keep):

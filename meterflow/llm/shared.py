@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 #: Largest row count of a side that is broadcast; beyond it the plan is a shuffle join.
 BROADCAST_ROWS = 1_000_000
 
+#: Bounds of the batches in which rows cross to Python.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2_000
+
 #: White space of words: space, tab, newline, vertical tab, form feed, carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -26,6 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="llm-")
         spark.conf.set("spark.checkpoint.dir", root)
+    # texts cross to Python in small batches: a task holds a few of them, on both sides
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")

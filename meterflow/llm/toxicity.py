@@ -175,7 +175,7 @@ def features(word: str) -> set[int]:
 class Reader:
     """Chosen features of a text; remembers words, within a bound, for the texts to come."""
 
-    def __init__(self, model: CharModel, chosen: dict[int, int] | None = None, bound: int = 300_000):
+    def __init__(self, model: CharModel, chosen: dict[int, int] | None = None, bound: int = 100_000):
         self.model, self.chosen, self.bound = model, chosen, bound
         self.seen: dict[str, tuple[int, ...]] = {}
 

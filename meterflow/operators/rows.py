@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
+from meterflow.functions.values import NUMBERS
 
 
 def transform_rows(
@@ -24,22 +25,45 @@ def transform_rows(
         if within is not None:
             value = F.when(within, value).otherwise(frame.current(df, name, sep)[0])
         df = frame.set_field(df, name, value, sep)
+    return checked(df)
+
+
+def checked(df: DataFrame) -> DataFrame:
+    """The frame, refused if its metric became anything but a number, a boolean or null."""
+    if frame.is_frame(df):
+        dtype = df.schema[frame.METRIC].dataType
+        if not isinstance(dtype, (*NUMBERS, T.BooleanType, T.NullType)):
+            raise ValueError(f"a metric must be a number or boolean, not {dtype.simpleString()}")
     return df
 
 
 def transform_batches(
-    df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str | None = None
+    df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: T.StructType | str | None = None,
+    within: Column | None = None,
 ) -> DataFrame:
     """Run Python over Arrow batches of rows, for logic without a built-in expression.
 
     ``fn`` must treat rows independently: batches are arbitrary slices of a partition. It may add
-    or drop rows.
+    or drop rows. Rows outside ``within`` pass by it, so the schema stays the frame's.
     """
-    def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    if within is None:
+        def over(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield fn(batch)
+
+        return checked(df.mapInPandas(over, schema or df.schema))
+    if schema is not None:
+        raise ValueError("rows outside within keep the frame's schema")
+
+    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield fn(batch)
+            own = batch.pop("_within").to_numpy(bool)
+            if own.any():
+                yield fn(batch[own].reset_index(drop=True))
+            if not own.all():
+                yield batch[~own].reset_index(drop=True)
 
-    return df.mapInPandas(over, schema or df.schema)
+    return df.withColumn("_within", F.coalesce(within, F.lit(False))).mapInPandas(inside, df.schema)
 
 
 def transform_frame(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -47,4 +71,4 @@ def transform_frame(df: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> Data
     out = fn(df)
     if not isinstance(out, DataFrame):
         raise TypeError("a frame transform returns a DataFrame")
-    return out
+    return checked(out)

@@ -2,6 +2,7 @@
 
 from meterflow.queries import (  # noqa: F401
     bucket_queries,
+    edge_queries,
     normalize_queries,
     sink_queries,
     source_queries,

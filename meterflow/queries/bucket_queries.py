@@ -169,7 +169,7 @@ UNION ALL SELECT * FROM g WHERE quality IS NULL AND source NOT IN (SELECT source
 """)
 def bucket_keep_empty_mixed(spark, sf):
     """Documents without a label count only for sources that have no label at all."""
-    labels = table(spark, sf, "labels").where("toxic = 1")
+    labels = table(spark, sf, "labels").withColumn("doc_id", F.when(F.col("toxic") == 1, F.col("doc_id")).otherwise(-1 - F.col("doc_id")))
     docs = table(spark, sf, "documents").select("doc_id", "source").join(labels, "doc_id", "left")
     return bucket_agg(docs, [Terms("source", "source"), Terms("quality", "quality")], keep_empty=True)
 

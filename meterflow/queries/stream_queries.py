@@ -12,7 +12,7 @@ from meterflow.queries.registry import query, table
 from meterflow.sinks.formats import json_lines
 from meterflow.sinks.writers import documents_to, table_to
 from meterflow.sources.topics import read_topic, write_topic
-from meterflow.streaming.run import interval_counts, latest_updates, run_stream, write_updates
+from meterflow.streaming.run import batch_counts, count_batches, run_stream, total_counts, write_batch
 from meterflow.streaming.workspace import workspace
 
 
@@ -27,11 +27,29 @@ SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL
 """)
 def stream_event_counts(spark, sf):
     place = workspace(spark, "event-counts")
-    # files may come in any order, so nothing within the span of the table counts as late
-    counts = interval_counts(_stream(spark, sf, "events"), "ts", "1 hour", ["event_type"], late="60 days")
-    write_updates(counts, f"{place}/table", f"{place}/checkpoint").awaitTermination()
-    latest = latest_updates(spark.read.parquet(f"{place}/table"), ["window_start", "window_end", "event_type"])
-    return latest.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+    # files in reverse order of time: the later half first, each its own batch
+    events = table(spark, sf, "events")
+    middle = events.agg(F.timestamp_micros(F.avg(F.unix_micros(F.col("ts").cast("timestamp"))).cast("bigint"))).first()[0]
+    for part in (F.col("ts").cast("timestamp") >= F.lit(middle), F.col("ts").cast("timestamp") < F.lit(middle)):
+        events.where(part).write.mode("append").parquet(f"{place}/files")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/files")
+    count_batches(stream, "ts", "1 hour", ["event_type"], f"{place}/table", f"{place}/checkpoint").awaitTermination()
+    total = total_counts(spark.read.parquet(f"{place}/table"), ["event_type"])
+    return total.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query("stream_repeated_batch", """
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end, COUNT(*) AS n FROM events GROUP BY ALL
+""")
+def stream_repeated_batch(spark, sf):
+    """Batches 0 and 1 are written, then batch 0 again, as after a failure."""
+    place = workspace(spark, "repeated")
+    events = table(spark, sf, "events")
+    halves = [events.where("event_id % 2 = 0"), events.where("event_id % 2 <> 0")]
+    for batch_id in (0, 1, 0):
+        write_batch(batch_counts(halves[batch_id], "ts", "1 day"), f"{place}/table", batch_id)
+    total = total_counts(spark.read.parquet(f"{place}/table"))
+    return total.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
 
 @query("stream_flow", """

@@ -170,13 +170,13 @@ def json_lines(df: DataFrame, width: int | None = None, sep: str = ".") -> DataF
     return df.select(*order, line.alias("value"))
 
 
-def json_arrays(df: DataFrame, batch: str, order: str, value: str = "value") -> DataFrame:
-    """One JSON array text per batch, in ``order``; batches must be bounded, see ``batch_ids``."""
+def json_arrays(df: DataFrame, batch: str, order: str, value: str = "value", most: int = 10_000) -> DataFrame:
+    """One JSON array text per batch, in ``order``; a batch of more than ``most`` rows fails, see ``batch_ids``."""
     rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
     text = F.array_join(F.transform(rows, lambda r: r.getField("v")), ",")
     return df.groupBy(batch).agg(
         F.count("*").alias("n_rows"), F.concat(F.lit("["), text, F.lit("]")).alias("payload")
-    )
+    ).withColumn("payload", F.when(F.col("n_rows") > most, F.raise_error(F.lit(f"a batch has more than {most} rows"))).otherwise(F.col("payload")))
 
 
 def envelope(

@@ -27,14 +27,48 @@ def run_stream(
 
 
 def interval_counts(
-    stream: DataFrame, ts: str, every: str, keys: Sequence[str] = (), late: str = "10 minutes"
+    stream: DataFrame, ts: str, every: str, keys: Sequence[str], late: str
 ) -> DataFrame:
-    """Rows per interval and key; rows more than ``late`` behind the newest are dropped."""
+    """Rows per interval and key in bounded state: rows more than ``late`` behind the newest are dropped.
+
+    ``count_batches`` drops none and needs no state.
+    """
     timed = stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late)
     counts = timed.groupBy(F.window(ts, every), *keys).agg(F.count("*").alias("n"))
     return counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "n")
 
 
+def batch_counts(batch: DataFrame, ts: str, every: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows of one batch per interval and key."""
+    timed = batch.withColumn(ts, F.col(ts).cast("timestamp"))
+    counts = timed.groupBy(F.window(ts, every), *keys).agg(F.count("*").alias("n"))
+    return counts.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "n")
+
+
+def write_batch(counts: DataFrame, path: str, batch_id: int) -> None:
+    """The counts of one batch in its own folder; a repeated batch replaces what it wrote before."""
+    counts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def count_batches(
+    stream: DataFrame, ts: str, every: str, keys: Sequence[str], path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Write the counts of every micro-batch; ``total_counts`` adds them up.
+
+    Rows may come in any order and however late: nothing is dropped and no state is kept.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch_counts(batch, ts, every, keys), path, batch_id)
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def total_counts(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Rows per interval and key over all batches read back."""
+    return counts.groupBy("window_start", "window_end", *keys).agg(F.sum("n").alias("n"))
+
+
 def write_updates(counts: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Write changed counts of every micro-batch to its own folder, replaced if it is repeated."""
     def write(batch: DataFrame, batch_id: int) -> None:

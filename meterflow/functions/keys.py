@@ -26,7 +26,12 @@ def require_unique(df: DataFrame, key: str, check: bool = True) -> DataFrame:
 def null_spread(df: DataFrame, key: Column, parts: int = 1000) -> Column:
     """A second join column: 0 for rows with a key, else one of ``parts`` numbers by the row's hash.
 
-    Rows without a key match nothing, so they need not meet in one partition. The other side has 0 throughout.
+    Rows without a key match nothing, so they need not meet in one partition. The other side has ``no_spread``.
     """
     parts_of = F.pmod(F.xxhash64(*[column((c,)) for c in df.columns]), F.lit(parts)).cast("int") + 1
     return F.when(key.isNotNull(), 0).otherwise(parts_of)
+
+
+def no_spread(key: Column) -> Column:
+    """0 on the other side of the join, as an expression of its key: a constant would not stay a join column."""
+    return F.pmod(F.xxhash64(key), F.lit(1)).cast("int")

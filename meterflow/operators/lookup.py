@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
-from meterflow.functions.keys import null_spread, require_unique
+from meterflow.functions.keys import no_spread, null_spread, require_unique
 from meterflow.functions.paths import column
 from meterflow.functions.values import b64, b64url, common_type, literal, shared_type, shown, truthy
 
@@ -59,7 +59,7 @@ def enrich(
     schema: T.StructType = right.schema["_doc"].dataType
     left, on = df.withColumn("_lookup", value), ["_lookup", "_spread"]
     left = left.withColumn("_spread", null_spread(left, F.col("_lookup")))
-    right = right.withColumn("_spread", F.lit(0))
+    right = right.withColumn("_spread", no_spread(F.col("_lookup")))
     if salts > 1:
         spread = F.xxhash64(*[column((c,)) for c in df.columns])
         left = left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
-from meterflow.functions.keys import null_spread, require_unique
+from meterflow.functions.keys import no_spread, null_spread, require_unique
 from meterflow.functions.values import INTEGERS, NUMBERS, common_type, literal, shared_type, shown, text, truthy
 
 # Casts of the key, and what a missing key gives.
@@ -60,6 +60,8 @@ def map_values(
         vtype = found_type = _value_type([*mapping.values(), *([default] if missing == "default" else [])])
     if missing in ("original", "original_casted"):
         vtype = shared_type(vtype, otype if missing == "original" else ktype)
+    if missing == "nothing" or within is not None:
+        vtype = shared_type(vtype, frame.current(df, target, sep)[1]) if vtype is not None else None
     if missing == "default":
         other = _typed(default, vtype)
     elif missing == "original":
@@ -118,7 +120,7 @@ def _joined(df: DataFrame, side: DataFrame, key: Column) -> tuple[DataFrame, Col
     """A left join whose strategy Spark chooses from table sizes; null keys, which match nothing, are spread."""
     left = df.withColumn("_map_on", key)
     left = left.withColumn("_map_spread", null_spread(left, F.col("_map_on")))
-    side = side.select("_map_key", "_map_value", F.lit(True).alias("_map_hit"), F.lit(0).alias("_map_part"))
+    side = side.select("_map_key", "_map_value", F.lit(True).alias("_map_hit"), no_spread(F.col("_map_key")).alias("_map_part"))
     on = (F.col("_map_on") == F.col("_map_key")) & (F.col("_map_spread") == F.col("_map_part"))
     return left.join(side, on, "left"), F.coalesce(F.col("_map_hit"), F.lit(False)), F.col("_map_value")
 

@@ -33,12 +33,15 @@ def jdbc_source(
     bounds: tuple[object, object] | None = None,
     partitions: int = 8,
     options: Mapping[str, str] | None = None,
+    single: bool = False,
 ) -> DataFrame:
     """Rows of a query run by an external database, with a statement timeout.
 
     With a partition column and its bounds the result is read by several tasks; the bounds only
-    divide the work and drop no rows.
+    divide the work and drop no rows. ``single=True`` says that one task may read it all.
     """
+    if (partition_column is None) != single:
+        raise ValueError("give a partition column, or single=True for a result that one task can read")
     reader = spark.read.format("jdbc").option("url", url)
     reader = reader.option("queryTimeout", max(1, -(-micros(timeout) // 1_000_000)))
     reader = reader.options(**dict(options or {}))

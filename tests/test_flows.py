@@ -45,6 +45,8 @@ def test_sql_counts_of_the_example(spark):
 def test_jdbc_options_are_checked(spark):
     with pytest.raises(ValueError):
         jdbc_source(spark, "jdbc:none:", "SELECT 1", partition_column="id")
+    with pytest.raises(ValueError):
+        jdbc_source(spark, "jdbc:none:", "SELECT 1")
 
 
 def test_json_payloads(spark, tmp_path):

@@ -6,7 +6,7 @@ separating characters that they are noise. Viterbi decoding picks the path that
 over all documents, and the channel's costs make likeliest. Words without disguise have a single path and pass through.
 
 The score is a logistic model over the words and word beginnings of the restored text, fitted on a bounded sample of
-labelled rows.
+labelled rows. A feature of many toxic texts and no clean one is enough by itself, so one insult is.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from meterflow.llm.shared import known, shared_dir, sized, stored
 SAMPLE = 6_000
 #: Features kept, hash buckets they are chosen from, and least toxic documents a feature is in.
 FEATURES, BUCKETS, SUPPORT = 3_000, 1 << 20, 3
+#: How many times as common in toxic texts, and in no clean text of the sample, a feature is that is enough by itself.
+ENOUGH = 500
 #: Lengths of word beginnings that are features, besides the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7)
 
@@ -163,12 +165,12 @@ def restored_text(text: str | None, model: CharModel) -> str:
 
 
 def features(word: str) -> set[int]:
-    """Hash buckets of a word and its beginnings."""
+    """Hash buckets of a word and its beginnings; odd ones for words and beginnings of five letters and more."""
     if len(word) < 2:
         return set()
     mask = BUCKETS - 1
-    raw = {zlib.crc32(b"=" + word.encode()) & mask}
-    raw.update(zlib.crc32(word[:k].encode()) & mask for k in BEGINNINGS if len(word) >= k)
+    raw = {zlib.crc32(b"=" + word.encode()) & mask | 1}
+    raw.update((zlib.crc32(word[:k].encode()) & mask & ~1) | (k >= 5) for k in BEGINNINGS if len(word) >= k)
     return raw
 
 
@@ -237,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> dict:
     nt, nc = sizes.get(1, 0), sizes.get(0, 0)
     if not nt or not nc:
         # without both labels every text scores alike
-        return {"counts": counts, "chosen": {}, "weights": np.zeros(0), "bias": 0.0 if nt == nc else math.copysign(2.0, nt - nc)}
+        return {"counts": counts, "chosen": {}, "weights": np.zeros(0), "alone": np.zeros(0), "bias": 0.0 if nt == nc else math.copysign(2.0, nt - nc)}
     # log-likelihood ratio of presence by label, for features commoner in toxic texts
     pt, pc = (F.col("t") + 0.5) / (nt + 1.0), (F.col("c") + 0.5) / (nc + 1.0)
     pool = (F.col("t") + F.col("c") + 1.0) / (nt + nc + 2.0)
@@ -246,6 +248,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> dict:
     best = sums.where((F.col("t") >= SUPPORT) & (pt > 2 * pc)).orderBy(gain.desc(), "f").limit(FEATURES).collect()
     chosen = {r["f"]: k for k, r in enumerate(best)}
     shared_chosen = sc.broadcast(chosen)
+    t, c = (np.array([r[k] for r in best], float) for k in ("t", "c"))
+    # log odds of a longer feature that is enough by itself, three standard errors below its estimate
+    ratio = np.log((t + 0.5) / (nt + 1)) - np.log((c + 0.5) / (nc + 1))
+    alone = np.where((c == 0) & (np.array([r["f"] for r in best], np.int64) % 2 == 1) & (ratio >= math.log(ENOUGH)), ratio - 3 * np.sqrt(1 / (t + 0.5) + 1 / (c + 0.5)), -np.inf)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(CharModel(shared_counts.value), shared_chosen.value)
@@ -255,10 +261,10 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE) -> dict:
 
     rows = texts.mapInArrow(read, "y int, f array<int>").groupBy("y", "f").agg(F.count("*").alias("n")).orderBy("y", "f").collect()
     weights, bias = logistic([r["f"] for r in rows], np.array([r["y"] for r in rows]), np.array([r["n"] for r in rows], float), len(chosen))
-    return {"counts": counts, "chosen": chosen, "weights": weights, "bias": bias}
+    return {"counts": counts, "chosen": chosen, "weights": weights, "alone": alone, "bias": bias}
 
 
-def logistic(rows: list[list[int]], y: np.ndarray, n: np.ndarray, size: int, penalty: float = 0.3, steps: int = 400) -> tuple[np.ndarray, float]:
+def logistic(rows: list[list[int]], y: np.ndarray, n: np.ndarray, size: int, penalty: float = 0.1, steps: int = 1500) -> tuple[np.ndarray, float]:
     """Weights and bias by gradient steps with momentum; labels weigh alike, weights are kept small."""
     which = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     at = np.array([f for r in rows for f in r], np.int64)
@@ -308,7 +314,9 @@ def with_score(
         for batch in batches:
             out = []
             for t in batch.column(batch.num_columns - 1).to_pylist():
-                z = m["bias"] + sum(m["weights"][k] for k in sorted(reader.of(t)))
+                found = sorted(reader.of(t))
+                z = m["bias"] + sum(m["weights"][k] for k in found)
+                z = max([z, *(m["alone"][k] for k in found)])
                 out.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, pa.float64())], [*batch.schema.names[:-1], name])
 

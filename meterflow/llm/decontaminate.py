@@ -7,6 +7,9 @@ which it lies in the document, and the words of that alignment are compared one
 
 from __future__ import annotations
 
+import math
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +22,8 @@ WINDOW = 13
 RATE = 0.8
 #: Items of fewer words are not looked for: so few words agree by chance.
 LEAST = 5
+#: Words that a mask of a short item sees at least, as far as the item has that many besides its substitutions.
+SEEN = 6
 
 
 def words(text: Column) -> Column:
@@ -28,24 +33,41 @@ def words(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<bigint>")).otherwise(hashes)
 
 
-def _seeds(rows: DataFrame, keep: list[str], masks: list[tuple[int, ...]]) -> DataFrame:
-    """``keep, seed, at``: the hash of every mask at every position where it fits, of rows with ``h`` (word hashes)."""
-    reach = sorted({p for m in masks for p in m})
+def _seeds(rows: DataFrame, keep: list[str], masks: list[tuple[int, ...]], used: list[tuple[int, ...]] | None = None) -> DataFrame:
+    """``keep, seed, at``: the hash of every mask at every position where it fits, of rows with ``h`` (word hashes).
+
+    ``used`` are the masks that count, all by default; a seed depends on the place of its mask in ``masks``.
+    """
+    used = masks if used is None else used
+    reach = sorted({p for m in used for p in m})
     # the array shifted by each position of a mask: row i holds the words a mask at i sees
     shifted = [F.slice("h", p + 1, F.greatest(F.size("h") - p, F.lit(0))).alias(f"w{p}") for p in reach]
     index = F.when(F.size("h") > 0, F.sequence(F.lit(0), F.size("h") - 1)).otherwise(F.array().cast("array<int>"))
     spread = rows.select(*keep, *shifted, index.alias("at"))
     spread = spread.select(*keep, F.inline(F.arrays_zip("at", *[f"w{p}" for p in reach])))
-    each = [F.when(F.col(f"w{m[-1]}").isNotNull(), F.xxhash64(F.lit(k), *[F.col(f"w{p}") for p in m])) for k, m in enumerate(masks)]
+    each = [F.when(F.col(f"w{m[-1]}").isNotNull(), F.xxhash64(F.lit(k), *[F.col(f"w{p}") for p in m])) for k, m in enumerate(masks) if m in used]
     return spread.select(*keep, F.explode(F.array(*each)).alias("seed"), "at").where("seed is not null")
 
 
-def item_masks(items: DataFrame, masks: tuple[tuple[int, ...], ...]) -> list[tuple[int, ...]]:
-    """The masks, and for items too short for one of them a mask of all their words; lengths below ``LEAST`` have none."""
-    span = max(m[-1] + 1 for m in masks)
-    # at most span - LEAST numbers
-    short = items.select(F.size("h").alias("n")).where((F.col("n") >= LEAST) & (F.col("n") < span)).distinct().collect()
-    return [*masks, *[tuple(range(r["n"])) for r in sorted(short)]]
+def short_masks(n: int, rate: float = RATE) -> list[tuple[int, ...]]:
+    """Masks of an item of ``n`` words, one of which sees none of the substitutions that ``rate`` allows, wherever they are.
+
+    The words are cut into blocks and each mask leaves out as many of them as words may be substituted.
+    """
+    wrong = n - math.ceil(n * rate - 1e-9)
+    for k in range(wrong + 1, n + 1):
+        blocks = [range(n * j // k, n * (j + 1) // k) for j in range(k)]
+        masks = [tuple(p for j in kept for p in blocks[j]) for kept in combinations(range(k), k - wrong)]
+        if min(map(len, masks)) >= min(SEEN, n - wrong):
+            break
+    return masks
+
+
+def item_masks(items: DataFrame, window: int = WINDOW, rate: float = RATE) -> dict[int, list[tuple[int, ...]]]:
+    """The masks of each length of items below ``window`` words; lengths below ``LEAST`` have none."""
+    # at most window - LEAST numbers
+    short = items.select(F.size("h").alias("n")).where((F.col("n") >= LEAST) & (F.col("n") < window)).distinct().collect()
+    return {n: short_masks(n, rate) for n in sorted(r["n"] for r in short)}
 
 
 def leaks(
@@ -55,15 +77,20 @@ def leaks(
     """One row per document and item found in it: ``id, item, n_matched, n_aligned``.
 
     An item is found where ``window`` consecutive aligned words (all of a shorter item) agree at a rate of at least
-    ``rate``; the counts are those of its best alignment: equal words and words compared. Null and empty texts hold
-    nothing, items of fewer than five words and null texts are not looked for. Null ids are an id like others. Repeated
-    rows of an id are one document, repeated item rows one item. Without items or documents there are no rows.
+    ``rate``, whichever words are substituted; ``masks`` are those of whole windows and must suit both. The counts are
+    those of its best alignment: equal words and words compared. Null and empty texts hold nothing, items of fewer than
+    five words and null texts are not looked for. Null ids are an id like others. Repeated rows of an id are one
+    document, repeated item rows one item. Without items or documents there are no rows.
     """
     shared_dir(docs.sparkSession)
     items = benchmark.select(F.col(f"`{item_column}`").alias("item"), words(F.col(f"`{item_text}`")).alias("h"))
     items = stored(items.where(F.size("h") >= LEAST).distinct(), "items")
-    all_masks = item_masks(items, masks)
-    wanted = _seeds(items, ["item"], all_masks).select(F.col("seed").alias("_seed"), "item", F.col("at").alias("item_at"))
+    short = item_masks(items, window, rate)
+    all_masks = list(dict.fromkeys([*masks, *[m for n in short for m in short[n]]]))
+    wanted = _seeds(items.where(F.size("h") >= window), ["item"], all_masks, list(masks))
+    for n in short:
+        wanted = wanted.unionByName(_seeds(items.where(F.size("h") == n), ["item"], all_masks, short[n]))
+    wanted = wanted.select(F.col("seed").alias("_seed"), "item", F.col("at").alias("item_at"))
     wanted = sized(stored(wanted.distinct(), "item-seeds"))
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), words(F.col(f"`{text}`")).alias("h"))
     hits = _seeds(rows, ["id"], all_masks).join(wanted, F.col("seed") == F.col("_seed"))

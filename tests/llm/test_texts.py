@@ -3,6 +3,7 @@
 import hashlib
 import re
 import zlib
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -163,6 +164,18 @@ def test_masks_find_two_substitutions():
             assert any({a, b}.isdisjoint({o + p for p in m}) for m in decontaminate.MASKS for o in range(13 - m[-1]))
 
 
+def test_short_items_are_found_with_every_allowed_substitution(spark):
+    items = [(n, " ".join(f"i{n}w{k}" for k in range(n))) for n in range(5, 13)]
+    docs = []
+    for n, text in items:
+        # one more than allowed as well, which must not be found
+        for gone in [*combinations(range(n), n // 5), *list(combinations(range(n), n // 5 + 1))[:5]]:
+            docs.append((len(docs), " ".join(["before", *["x" if k in gone else w for k, w in enumerate(text.split())], "after"])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = decontaminate.leaks(df, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == brute_leaks(docs, items) and len(got) == 201
+
+
 def small_model():
     text = "you are an idiot and a loser moron stupid trash clown scum the of and other is in it not what why " * 30
     c = toxicity._TABLE[np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), 0x250)].astype(np.int64)

@@ -2,9 +2,9 @@
 
 Tokens are opening tags with the tags around them (their path) and text blocks with their path. Tokens that occur
 equally often on every page of a host have the same occurrence vector and form an equivalence class. A text is part of
-the template if a tag of its class stands around it on at least two pages: the class is nested. A path at which all
-texts are part of the template is fixed; the other paths are slots. The text of a page is what stands in the slots of
-its article, or without an article in all slots that do not lead through menus, notices and the like.
+the template if a tag of its class stands around it: the class is nested. Such blocks go on every page, inside of
+articles as well; what is left are the slots. Names of tags and classes then choose among the slots: the text of a page
+is what stands in those of its article, or without an article in all that do not lead through menus, notices and the like.
 """
 
 from __future__ import annotations
@@ -155,53 +155,61 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
 
 def _key(text: str) -> int:
     raw = text.encode("utf-8", "surrogatepass")
-    return zlib.crc32(raw) | (zlib.adler32(raw) & 0x7FFFFFFF) << 32
+    return (zlib.crc32(raw) | (zlib.adler32(raw) & 0x7FFFFFFF) << 32) or 1
+
+
+def _block_key(path: str, text: str) -> int:
+    return _key(f"{path}\0{text}")
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each token of a page and how often it is there; block 0 is the tag of the path itself.
 
-    Texts of articles are content whatever repeats them, so they are no tokens.
+    A page is known by its texts, so copies are one page. ``other`` is the page's longest text besides the token. The
+    empty path is a tag around every page.
     """
     for batch in batches:
         rows: list[tuple] = []
-        for host, page, text in zip(*[batch.column(k).to_pylist() for k in range(3)], strict=True):
+        for host, text in zip(*[batch.column(k).to_pylist() for k in range(2)], strict=True):
             found, tags = blocks(text)
-            seen = Counter((path, 0) for path in tags)
-            seen.update((path, _key(words)) for path, words, _, inside in found if not inside)
-            rows += [(host, page, path, block, n) for (path, block), n in seen.items()]
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "page", "path", "block", "n"])
-
-
-def _key(text: str) -> int:
-    raw = text.encode("utf-8", "surrogatepass")
-    return (zlib.crc32(raw) | (zlib.adler32(raw) & 0x7FFFFFFF) << 32) or 1
+            page = _key("\0".join(b[1] for b in found))
+            rows += [(host, page, path, 0, n, 0, False) for path, n in Counter(["", *tags]).items()]
+            longest = sorted({(len(b[1]), _key(b[1])) for b in found}, reverse=True)[:2]
+            first, second = [k for _, k in [*longest, (0, 0), (0, 0)][:2]]
+            inside = {b[0]: b[3] for b in found}
+            for (path, words), n in Counter((b[0], b[1]) for b in found).items():
+                other = first if _key(words) != first else second
+                rows.append((host, page, path, _block_key(path, words), n, other, inside[path]))
+        columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+        kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
+        names = ["host", "page", "path", "block", "n", "other", "inside"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(known(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1))
 
 
-def fixed_paths(tokens: DataFrame, least: int = 2) -> DataFrame:
-    """``host, fixed``: the paths of each host at which all texts are part of its template.
+def template_blocks(tokens: DataFrame, least: int = 2, sure: int = 3) -> DataFrame:
+    """``host, fixed``: the keys of the text blocks of each host that are part of its template.
 
-    An occurrence vector is summed up as a hash of its (page, count) entries, so no vector and no host is gathered: a
-    hot host is one partial sum per task and token. What is collected per host are paths of its template.
+    A block is on ``least`` pages, inside an article on ``sure``, and on half of the host's pages or on pages that differ
+    in their longest text: what a few near copies share is no template. An occurrence vector is summed up as a hash of
+    its (page, count) entries, so no vector and no host is gathered: a hot host is one partial sum per task and token.
+    What is collected per host are blocks of its template.
     """
     vectors = tokens.groupBy("host", "path", "block").agg(
-        F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector"), F.count("*").alias("support"))
-    vectors = stored(vectors, "vectors")
+        F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector"), F.count("*").alias("support"),
+        F.max("inside").alias("inside"), (F.min("other") != F.max("other")).alias("differ"))
+    vectors = stored(vectors.where((F.col("support") >= least) | (F.col("path") == "")), "vectors")
     tags = vectors.where((F.col("block") == 0) & (F.col("support") >= least))
     around = tags.groupBy("host", "vector", "support").agg(F.collect_set("path").alias("tags"))
-    texts = vectors.where("block <> 0")
+    pages = vectors.where((F.col("block") == 0) & (F.col("path") == "")).select("host", F.col("support").alias("pages"))
+    texts = vectors.where((F.col("block") != 0) & (F.col("support") >= F.when(F.col("inside"), sure).otherwise(least)))
+    texts = texts.join(pages, "host").where(F.col("differ") | (2 * F.col("support") >= F.col("pages")))
     member = F.exists("tags", lambda t: (F.col("path") == t) | F.startswith(F.col("path"), F.concat(t, F.lit("/"))))
-    held = texts.where(F.col("support") >= least).join(around, ["host", "vector", "support"]).where(member)
-    held = held.groupBy("host", "path").agg(F.count("*").alias("members"))
-    every = texts.groupBy("host", "path").agg(F.count("*").alias("texts"))
-    fixed = held.join(every, ["host", "path"]).where("members = texts")
-    return fixed.groupBy("host").agg(F.collect_set("path").alias("fixed"))
+    fixed = texts.join(around, ["host", "vector", "support"]).where(member)
+    return fixed.groupBy("host").agg(F.collect_set("block").alias("fixed"))
 
 
 def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,27 +217,26 @@ def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for page, fixed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             found, _ = blocks(page)
-            article = [b for b in found if b[3] and not b[2]]
-            if not article:
-                open_ = [b for b in found if not b[2]]
-                # where all is fixed, the pages of the host are copies of each other
-                article = [b for b in open_ if b[0] not in set(fixed or ())] or open_
-            texts.append("\n".join(b[1] for b in article))
+            article = [b for b in found if b[3] and not b[2]] or [b for b in found if not b[2]]
+            known_ = set(fixed or ())
+            # where all is fixed, the pages of the host are copies of each other
+            slots = [b for b in article if _block_key(b[0], b[1]) not in known_] if known_ else article
+            texts.append("\n".join(b[1] for b in slots or article))
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page", "url", "text"])
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", least: int = 2) -> DataFrame:
     """``id, url, text`` of each row: the article's blocks in order, joined by line ends, empty if there are none.
 
-    Null pages are empty, null or odd urls belong to a host without name. A host with fewer than ``least`` pages has no
-    template: its slots are chosen by path alone. Repeated rows are one page of the host, and repeat in the result. An
-    empty table gives no rows. Nothing inside an article is left out for being repeated.
+    Null pages are empty, null or odd urls belong to a host without name. A host with fewer than ``least`` different
+    pages has no template: its slots are chosen by names alone. Rows of equal texts are one page of the host, and repeat
+    in the result. An empty table gives no rows.
     """
     shared_dir(pages.sparkSession)
     rows = pages.select(F.col(f"`{id_column}`").alias("page"), F.col(f"`{url}`").alias("url"), known(F.col(f"`{html}`")).alias("html"))
-    named = rows.select(host_of(F.col("url")).alias("host"), F.xxhash64("page", "url", "html").alias("page"), "html")
-    tokens = named.mapInArrow(_tokens, "host string, page bigint, path string, block bigint, n int").distinct()
-    fixed = stored(fixed_paths(tokens, least), "fixed").select(F.col("host").alias("_host"), "fixed")
+    named = rows.select(host_of(F.col("url")).alias("host"), "html")
+    tokens = named.mapInArrow(_tokens, "host string, page bigint, path string, block bigint, n int, other bigint, inside boolean").distinct()
+    fixed = stored(template_blocks(tokens, least), "fixed").select(F.col("host").alias("_host"), "fixed")
     kind = pages.schema[id_column].dataType.simpleString()
     joined = rows.join(sized(fixed, 20_000), host_of(F.col("url")) == F.col("_host"), "left").select("page", "url", "html", "fixed")
     out = joined.mapInArrow(_choose, f"page {kind}, url {pages.schema[url].dataType.simpleString()}, text string")

@@ -285,6 +285,21 @@ def test_template_of_a_host(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_template_inside_articles(spark):
+    def html(k, story):
+        return page(f"<article><h1>Head {k}</h1><p>{story}</p><p>Read our paper daily</p></article>")
+
+    story = "a long story that two pages of this host share word by word"
+    rows = [(k, f"http://host/{k}", html(k, f"what happened on day {k} and the days after it was new")) for k in range(6)]
+    rows += [(10 + k, "http://host/c", html(f"copy {k}", story)) for k in range(2)] + [(20, "http://one/", html(0, "x"))]
+    # no article, boilerplate and content at one path
+    rows += [(30 + k, f"http://mixed/{k}", f"<body><div><p>Terms of use</p><p>own text {k} of this page</p></div>") for k in range(4)]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == f"Head {k}\nwhat happened on day {k} and the days after it was new" for k in range(6))
+    assert got[10] == f"Head copy 0\n{story}" and got[20] == "Head 0\nx\nRead our paper daily"
+    assert all(got[30 + k] == f"own text {k} of this page" for k in range(4))
+
+
 def test_chat_parts_agree_with_one_pass(spark):
     model = chat.Model({})
     rng = np.random.default_rng(1)

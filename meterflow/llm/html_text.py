@@ -36,12 +36,29 @@ BLOCK = frozenset(
     " main menu nav ol p pre section table ul".split())
 #: Closed by another one of its kind.
 SIBLING = {"li": {"li"}, "p": {"p"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-#: Parts of class names, ids and roles of what is not the article.
+#: Class names, ids and roles of what is not the article, as whole names or joined with each other and with ``STRUCTURE``.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|"
-    r"comments?|disqus|replies|reply|respond|reviews?|sidebar|side|nav|navbar|navigation|menu|breadcrumbs?|topbar|toolbar|header|masthead|"
+    r"ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|alert|popup|modal|newsletter|subscribe|"
+    r"comments?|disqus|replies|reply|respond|reviews?|sidebar|side|nav|navbar|navigation|menu|breadcrumbs?|topbar|toolbar|masthead|"
     r"footer|copyright|legal|share|sharing|social|related|recommend\w*|trending|popular|widget|login|signup|search|pagination|pager|tags?|hidden|"
-    r"complementary|contentinfo)(?:$|[\s_-])", re.I)
+    r"complementary|contentinfo", re.I)
+STRUCTURE = re.compile(
+    r"site|main|bar|box|block|list|items?|area|container|wrap|wrapper|inner|outer|section|links?|buttons?|icons?|posts?|articles?|stories|"
+    r"slot|unit|top|bottom|form|cloud|message|\d+", re.I)
+#: The header of the site; that of an article or a section is part of it.
+HEADER = re.compile(r"(?:site|top)?[-_]?header", re.I)
+
+
+def is_mark(hints: str) -> bool:
+    """Whether one of the names says that an element is not the article; ``tag-x`` or ``with-sidebar`` do not."""
+    for name in hints.split():
+        parts = [x for x in re.split("[-_]+", name) if x]
+        marks = [MARKS.fullmatch(x) is not None for x in parts]
+        if HEADER.fullmatch(name) or any(marks) and all(m or STRUCTURE.fullmatch(x) for m, x in zip(marks, parts, strict=True)):
+            return True
+    return False
+
+
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^>]*>", re.S)
 _CUT = re.compile(r"<[a-zA-Z/!?][^>]*$")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -49,17 +66,18 @@ _RAW_END = {n: re.compile(rf"</{n}\s*>", re.I) for n in ("script", "style", "tex
 _DIGITS = re.compile(r"\d+")
 
 
-def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
+def blocks(page: str) -> tuple[list[tuple[str, str, int, bool]], list[str]]:
     """Text blocks ``(path, text, marked, in_article)`` in order, and the paths of all opening tags.
 
-    ``marked`` says that the path leads through something that is not the article. Text of inline elements belongs to
+    ``marked`` is 2 if the path leads through something that is not the article, and 1 if only the name of an element
+    around the article or outside of one says so: such an element may hold the article. Text of inline elements belongs to
     the block around them; references are decoded, white space is one space, empty blocks are left out.
     """
-    out: list[tuple[str, str, bool, bool]] = []
+    out: list[tuple[str, str, int, bool]] = []
     tags: list[str] = []
-    stack: list[tuple[str, str, bool]] = []  # name, path, marked
+    stack: list[tuple[str, str, int]] = []  # name, path, marked
     held: list[str] = []
-    place: tuple[str, bool, bool] = ("", False, False)
+    place: tuple[str, int, bool] = ("", 0, False)
     at = 0
 
     def flush() -> None:
@@ -69,9 +87,9 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
                 out.append((place[0], text, place[1], place[2]))
             held.clear()
 
-    def block_place() -> tuple[str, bool, bool]:
+    def block_place() -> tuple[str, int, bool]:
         if not stack:
-            return "", False, False
+            return "", 0, False
         return stack[-1][1], stack[-1][2], any(s[0] in ("article", "main") for s in stack)
 
     def add(text: str) -> None:
@@ -123,19 +141,19 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
             k = max(i for i, s in enumerate(stack) if s[0] == "p")
             if not any(s[0] in BLOCK for s in stack[k + 1:]):
                 del stack[k:]
-        signature, mark = name, name in AROUND
+        inside_article = any(s[0] in ("article", "main") for s in stack)
+        # the header of an article is part of it
+        signature, mark = name, 2 * (name in AROUND and not (name == "header" and inside_article))
         if m.group(3):
             values = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(m.group(3))}
             hints = " ".join(values[a] for a in ("class", "id", "role") if values.get(a))
             if hints:
                 signature = f"{name}.{_DIGITS.sub('0', hints.strip().replace(' ', '.'))}"
-                mark = mark or (name not in ("html", "body", "main") and MARKS.search(hints) is not None)
-            mark = mark or "hidden" in _ATTRIBUTE.sub("", m.group(3)).split() or "display:none" in values.get("style", "").replace(" ", "") or values.get("aria-hidden") == "true"
-        inside_article = any(s[0] in ("article", "main") for s in stack)
-        # the header of an article is part of it
-        if name == "header" and inside_article and signature == name:
-            mark = False
-        above = stack[-1] if stack else ("", "", False)
+                if name not in ("html", "body", "main", "article") and not (name == "header" and inside_article) and is_mark(hints):
+                    mark = max(mark, 1 + inside_article)
+            if "hidden" in _ATTRIBUTE.sub("", m.group(3)).split() or "display:none" in values.get("style", "").replace(" ", "") or values.get("aria-hidden") == "true":
+                mark = 2
+        above = stack[-1] if stack else ("", "", 0)
         path = f"{above[1]}/{signature}" if name not in INLINE else above[1]
         if name not in INLINE:
             tags.append(path)
@@ -145,10 +163,10 @@ def blocks(page: str) -> tuple[list[tuple[str, str, bool, bool]], list[str]]:
                 end = _RAW_END[name].search(page, at)
                 at = end.end() if end else size
                 continue
-            mark = True
+            mark = 2
         if name in VOID or m.group(3).endswith("/"):
             continue
-        stack.append((name, path, above[2] or mark or name in HIDDEN))
+        stack.append((name, path, max(above[2], mark)))
     flush()
     return out, tags
 
@@ -217,7 +235,8 @@ def _choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = []
         for page, fixed in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             found, _ = blocks(page)
-            article = [b for b in found if b[3] and not b[2]] or [b for b in found if not b[2]]
+            # an article in an element of a doubtful name only if there is no other one
+            article = next((x for x in ([b for b in found if b[3] and b[2] == m] for m in (0, 1)) if x), None) or [b for b in found if not b[2]]
             known_ = set(fixed or ())
             # where all is fixed, the pages of the host are copies of each other
             slots = [b for b in article if _block_key(b[0], b[1]) not in known_] if known_ else article

@@ -285,6 +285,21 @@ def test_template_of_a_host(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("body,want", [
+    ("<article class='post hentry tag-politics legal'><p>text</p></article>", "text"),
+    ("<div class='content with-sidebar'><article><p>text</p></article></div><p>left</p>", "text"),
+    ("<div class='sidebar'><article><p>text</p></article></div><p>left</p>", "text"),
+    ("<div class='sidebar'><article><p>card</p></article></div><article><p>text</p></article>", "text"),
+    ("<article><div class='entry-header'><h1>Title</h1></div><div class='product-reviews'>text</div></article>", "Title\ntext"),
+    ("<article><header class='entry-header'><h1>Title</h1></header><p>text</p></article>", "Title\ntext"),
+    ("<article><p>text</p><ol class='comment-list'><li>reader</ol><div class='ad-slot ad_2'>buy</div></article>", "text"),
+    ("<div class='cookie-notice'>ok</div><div class='site-header'>h</div><p>text</p>", "text"),
+])
+def test_names_of_parts(spark, body, want):
+    df = spark.createDataFrame([(1, "http://h/x", page(body))], "page_id long, url string, html string")
+    assert html_text.extract(df).first().text == want
+
+
 def test_template_inside_articles(spark):
     def html(k, story):
         return page(f"<article><h1>Head {k}</h1><p>{story}</p><p>Read our paper daily</p></article>")

@@ -23,23 +23,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("_toxicity") < TOXIC).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The documents with ``_key``, a hash of id and text: ids may be null or stand for different texts."""
+    return docs.withColumn("_key", F.xxhash64("doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull()))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group; of rows that repeat an id one, rows without an id all."""
-    found = stored(ngram_join.ngram_join(docs.select("doc_id", "text")), "near-copies")
-    gone = found.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    rest = docs.join(sized(gone), F.col("doc_id") == F.col("_id"), "left_anti")
-    again = stored(found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
-    again = sized(again.select(F.col("doc_id").alias("_id")))
-    single = rest.join(again, F.col("doc_id") == F.col("_id"), "left_anti")
-    folded = rest.join(again, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(folded)
+    """The document of the smallest id of each group; of rows that repeat an id and its text one, rows without an id all."""
+    rows = keyed(docs.where("doc_id is not null"))
+    found = stored(ngram_join.ngram_join(rows.select("_key", "text"), "_key"), "near-copies")
+    linked = found.where("n_links > 0").select(F.col("_key").alias("_id"), F.col("component_id").alias("_group")).distinct()
+    linked = stored(linked, "linked")
+    ids = rows.select("_key", "doc_id").join(sized(linked), F.col("_key") == F.col("_id")).select("_id", "_group", "doc_id")
+    first = ids.groupBy("_group").agg(F.min(F.struct("doc_id", "_id")).alias("m")).select(F.col("m._id").alias("_first"))
+    gone = stored(linked.join(first, F.col("_id") == F.col("_first"), "left_anti").select("_id"), "gone")
+    rest = rows.join(sized(gone), F.col("_key") == F.col("_id"), "left_anti")
+    again = found.groupBy("_key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("_key").alias("_id"))
+    again = sized(stored(again, "repeated"))
+    single = rest.join(again, F.col("_key") == F.col("_id"), "left_anti")
+    folded = rest.join(again, F.col("_key") == F.col("_id"), "left_semi").dropDuplicates(["_key"])
+    return single.unionByName(folded).drop("_key").unionByName(docs.where("doc_id is null"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
-    found = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    gone = stored(found.select(F.col("doc_id").alias("_id")).distinct(), "leaks")
-    return docs.join(sized(gone), F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Documents without a passage of the benchmark, decided for each text."""
+    rows = keyed(docs)
+    found = decontaminate.leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "_key")
+    gone = stored(found.select(F.col("_key").alias("_id")).distinct(), "leaks")
+    return rows.join(sized(gone), F.col("_key") == F.col("_id"), "left_anti").drop("_key")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -146,3 +146,22 @@ def test_pipeline_stages(spark):
             assert set(docs.columns) == {*columns, "copy"} and set(ids) <= {r.doc_id for r in before.collect()}
             assert max(ids.values()) <= 2
     assert rows
+
+
+def test_stages_decide_for_each_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    one, two = " ".join(f"tok{k}" for k in range(60)), " ".join(f"other{k}" for k in range(60))
+    rows = [
+        (1, one, "en", "s", 1), (2, one + " end", "en", "s", 1), (3, one, "en", "s", 1),
+        (2, two, "en", "s", 1), (7, two + " end", "en", "s", 1), (8, "first of eight", "en", "s", 1), (8, "second of eight", "en", "s", 1),
+        (8, "second of eight", "en", "s", 1), (None, "clean", "en", "s", 1), (None, "clean too", "en", "s", 1), (None, "x " + leak, "en", "s", 1), (9, leak, "en", "s", 1), (9, "nine", "en", "s", 1),
+    ]
+    docs = spark.createDataFrame(rows, docs.schema)
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter(
+        {(i, t): 1 for i, t in [(1, one), (2, two), (8, "first of eight"), (8, "second of eight"), (9, "nine"), (None, "clean"), (None, "clean too"), (None, "x " + leak)]}
+        | ({(9, leak): 1}))
+    left = corpus_pipeline.drop_leaks(spark, docs, SF)
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == Counter((r[0], r[1]) for r in rows if leak not in r[1])

@@ -116,7 +116,8 @@ def decode(token: str, model: CharModel) -> str:
     for, or leaves them as they are where it repeats the letter before or separates letters.
     """
     table = model.table
-    beams: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
+    # words are linked from their last letter back, so a long token costs no more for each character
+    beams: dict[tuple[int, int, int], tuple[float, tuple]] = {(0, 0, 0): (0.0, ())}
     previous = ""
     runs = {i for m in re.finditer(r"(.)\1\1+", token) for i in range(*m.span())}
     for at, c in enumerate(token):
@@ -126,14 +127,14 @@ def decode(token: str, model: CharModel) -> str:
         options += [(x, SUBSTITUTED) for x in LOOKALIKES.get(c, "")]
         if not options and c not in SEPARATORS:
             options.append((c, 0.0))
-        nxt: dict[tuple[int, int, int], tuple[float, str]] = {}
+        nxt: dict[tuple[int, int, int], tuple[float, tuple]] = {}
         for (a, b, d), (p, word) in beams.items():
             for letter, cost in options:
                 k = _TABLE[min(ord(letter), 0x250)] if letter else 0
                 q = p + cost + table[a][b][d][k]
                 key = (b, d, int(k))
                 if key not in nxt or q > nxt[key][0]:
-                    nxt[key] = (q, word + letter)
+                    nxt[key] = (q, (word, letter))
             drop = (REPEATED if at in runs else DOUBLED) if c == previous else DROPPED if c in SEPARATORS else None
             if drop is not None and word:
                 q = p + drop
@@ -142,7 +143,11 @@ def decode(token: str, model: CharModel) -> str:
         beams = nxt or beams
         previous = c
     best = max(((p + table[a][b][d][0], word) for (a, b, d), (p, word) in beams.items()), key=lambda x: x[0])
-    return best[1]
+    letters, word = [], best[1]
+    while word:
+        word, letter = word
+        letters.append(letter)
+    return "".join(reversed(letters))
 
 
 def disguised(token: str) -> bool:
@@ -155,7 +160,7 @@ def disguised(token: str) -> bool:
 def restore(token: str, model: CharModel) -> str:
     """A white-space token as the scorer sees it: lower case, bare of marks at its ends, decoded if disguised."""
     bare = token.lower().rstrip(_EDGES).lstrip(_LEFT)
-    return decode(bare, model) if len(bare) <= 40 and disguised(bare) else bare.strip(_EDGES)
+    return decode(bare, model) if disguised(bare) else bare.strip(_EDGES)
 
 
 def restored_text(text: str | None, model: CharModel) -> str:

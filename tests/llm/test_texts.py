@@ -188,6 +188,11 @@ def test_decoding(disguise):
     assert toxicity.restored_text(f"what {disguise} is", small_model()) == "what idiot is"
 
 
+@pytest.mark.parametrize("disguise", ["s" * 40 + "tupid", ".".join("stupid") + "." * 60 + "!", "5" + "t" * 200 + "up1d", "i" * 50_000 + "d1ot"])
+def test_long_disguises_are_decoded(disguise):
+    assert toxicity.restored_text(f"what {disguise} is", small_model()) == f"what {'idiot' if disguise[0] == 'i' else 'stupid'} is"
+
+
 def test_clean_words_pass_through():
     assert toxicity.restored_text("Other %%% is it? (Not) *2024* **coffee**", small_model()) == "other is it not 2024 coffee"
     assert toxicity.restored_text(None, small_model()) == ""

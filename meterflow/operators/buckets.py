@@ -168,16 +168,21 @@ def _outer_limits(levels: Sequence[Level]) -> dict[int, int]:
 def _limited(grouped: DataFrame, keys: Sequence[str], limits: Mapping[int, int], count: str, keep_null: bool = False) -> DataFrame:
     """The grouped rows of the largest buckets at each limited depth; equal counts are ordered by key.
 
-    Counts of outer buckets are sums of the groups below them. Each task passes on the rows of its own largest buckets
-    only (Spark limits ranks before the shuffle), so ranking the outermost level moves few rows.
+    Counts of outer buckets are sums of the groups below them. The outermost buckets are ranked as one row each, of which every
+    task passes on its first ``n``; their children only meet these few keys.
     """
     for depth, n in sorted(limits.items()):
         key = F.col(keys[depth])
         grouped = grouped if keep_null else grouped.where(key.isNotNull())
+        if not depth:
+            sums = grouped.where(key.isNotNull()).groupBy(key.alias("_top")).agg(F.sum(count).alias("_total"))
+            first = sums.orderBy(F.col("_total").desc(), F.col("_top").asc()).limit(n).select("_top")
+            grouped = grouped.join(first, key == F.col("_top"), "left_semi")
+            continue
         total = F.sum(count).over(Window.partitionBy(*keys[: depth + 1]))
         grouped = grouped.withColumn("_total", F.when(key.isNotNull(), total))
         order = [F.col("_total").desc_nulls_last(), key.asc_nulls_last()]
-        window = (Window.partitionBy(*keys[:depth]) if depth else Window).orderBy(*order)
+        window = Window.partitionBy(*keys[:depth]).orderBy(*order)
         grouped = grouped.withColumn("_rank", F.dense_rank().over(window))
         inside = F.col("_rank") <= n
         grouped = grouped.where(inside | key.isNull() if keep_null else inside).drop("_total", "_rank")

@@ -6,6 +6,7 @@ from meterflow.queries import (  # noqa: F401
     normalize_queries,
     sink_queries,
     source_queries,
+    state_queries,
     stream_queries,
     transform_queries,
 )

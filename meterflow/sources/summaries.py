@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,28 +38,28 @@ def run_summary(
 
 
 def run_summaries(
-    runs: DataFrame, every: str, result: str = "result", finished: str = "finished_at"
+    runs: DataFrame, every: str, result: str = "result", finished: str = "finished_at", outcomes: Sequence[str] = RESULTS
 ) -> DataFrame:
-    """``run_summary`` for every interval of the whole log in which a run ended."""
+    """``run_summary`` for every interval of the whole log in which a run ended; ``outcomes`` are counted, others are not."""
     kind = runs.schema[finished].dataType
     begin = floor_time(F.col(finished), kind, every)
     counts = (
         runs.where(F.col(finished).isNotNull())
         .groupBy(begin.alias("timestamp_from"))
-        .agg(*_result_counts(result))
+        .agg(*_result_counts(result, outcomes))
     )
     until = F.timestamp_add("MICROSECOND", F.lit(micros(every)).cast("bigint"), F.col("timestamp_from"))
-    return counts.select(F.inline(_result_rows()), "timestamp_from", until.alias("timestamp_to"))
+    return counts.select(F.inline(_result_rows(outcomes)), "timestamp_from", until.alias("timestamp_to"))
 
 
-def _result_counts(result: str) -> list[Column]:
-    return [F.count_if(F.col(result) == r).alias(f"_{r}") for r in RESULTS]
+def _result_counts(result: str, outcomes: Sequence[str] = RESULTS) -> list[Column]:
+    return [F.count_if(F.col(result) == r).alias(f"_{r}") for r in outcomes]
 
 
-def _result_rows() -> Column:
+def _result_rows(outcomes: Sequence[str] = RESULTS) -> Column:
     return F.array(*[
         F.struct(F.col(f"_{r}").alias("metric"), F.lit("task_result").alias("metric_type"), F.lit(r).alias("result"))
-        for r in RESULTS
+        for r in outcomes
     ])
 
 

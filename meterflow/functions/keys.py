@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
-from meterflow.functions.paths import column
+from meterflow.functions.paths import Path, column, leaves
 
 
 def require_unique(df: DataFrame, key: str, check: bool = True) -> DataFrame:
@@ -23,12 +23,21 @@ def require_unique(df: DataFrame, key: str, check: bool = True) -> DataFrame:
     return df.where(F.when(twice > 0, duplicate).otherwise(True))
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of every value of a row: scalars as they are, lists and maps, which may hold maps, as their JSON text."""
+    def one(path: Path, dtype: T.DataType) -> Column:
+        nested = isinstance(dtype, (T.ArrayType, T.MapType))
+        return F.to_json(column(path)) if nested else column(path)
+
+    return F.xxhash64(*[one(path, dtype) for path, dtype in leaves(df.schema)])
+
+
 def null_spread(df: DataFrame, key: Column, parts: int = 1000) -> Column:
     """A second join column: 0 for rows with a key, else one of ``parts`` numbers by the row's hash.
 
     Rows without a key match nothing, so they need not meet in one partition. The other side has ``no_spread``.
     """
-    parts_of = F.pmod(F.xxhash64(*[column((c,)) for c in df.columns]), F.lit(parts)).cast("int") + 1
+    parts_of = F.pmod(row_hash(df), F.lit(parts)).cast("int") + 1
     return F.when(key.isNotNull(), 0).otherwise(parts_of)
 
 

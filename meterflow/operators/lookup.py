@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
-from meterflow.functions.keys import no_spread, null_spread, require_unique
+from meterflow.functions.keys import no_spread, null_spread, require_unique, row_hash
 from meterflow.functions.paths import column
 from meterflow.functions.values import b64, b64url, common_type, literal, shared_type, shown, truthy
 
@@ -61,8 +61,7 @@ def enrich(
     left = left.withColumn("_spread", null_spread(left, F.col("_lookup")))
     right = right.withColumn("_spread", no_spread(F.col("_lookup")))
     if salts > 1:
-        spread = F.xxhash64(*[column((c,)) for c in df.columns])
-        left = left.withColumn("_salt", F.pmod(spread, F.lit(salts)).cast("int"))
+        left = left.withColumn("_salt", F.pmod(row_hash(df), F.lit(salts)).cast("int"))
         right = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
         on.append("_salt")
     joined = left.join(right.withColumn("_hit", F.lit(True)), on, "left")
@@ -71,7 +70,14 @@ def enrich(
         lost = F.raise_error(F.concat(F.lit("no document for key "), F.coalesce(F.col("_lookup").cast("string"), F.lit("null"))))
         needed = ~hit if within is None else within & ~hit
         joined = joined.where(F.when(needed, lost.cast("boolean")).otherwise(True))
+    return merged_documents(df, joined, schema, hit, include, defaults, falsy_as_missing, within)
 
+
+def merged_documents(
+    df: DataFrame, joined: DataFrame, schema: T.StructType, hit: Column, include: Sequence[str] | None,
+    defaults: Mapping[str, object] | None, falsy_as_missing: bool, within: Column | None,
+) -> DataFrame:
+    """Rows of ``joined``, which are those of ``df`` beside their ``_doc``, with the document's fields merged in."""
     values: dict[str, Column] = {}
     if include is None:
         known = _field_names(df)

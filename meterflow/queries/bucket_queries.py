@@ -15,6 +15,7 @@ from meterflow.operators.buckets import (
     root_agg,
 )
 from meterflow.operators.flatten import flatten
+from meterflow.operators.frequent import frequent_buckets
 from meterflow.operators.gauges import gauge_rows, last_value
 from meterflow.operators.normalize import to_metrics
 from meterflow.queries.registry import flat, query, table
@@ -265,3 +266,22 @@ def gauge_last_hot_series(spark, sf):
     return last_value(
         items, ["l_returnflag", "l_linestatus"], "price", ["l_orderkey", "l_linenumber", "l_partkey", "price"]
     )
+
+
+@query("bucket_terms_frequent", """
+SELECT l_orderkey AS "order", COUNT(*) AS doc_count, SUM(l_quantity) AS qty FROM lineitem GROUP BY l_orderkey
+ORDER BY doc_count DESC, "order" LIMIT 10
+""")
+def bucket_terms_frequent(spark, sf):
+    """Top buckets of a column of very many values, of nearly equal counts; a small sketch leaves many cells open."""
+    return frequent_buckets(table(spark, sf, "lineitem"), Terms("order", "l_orderkey", top_n=10), {"qty": ("sum", "l_quantity")}, tracked=256, cells=4096)
+
+
+@query("bucket_terms_frequent_skewed", """
+SELECT CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id * user_id END AS who, COUNT(*) AS doc_count FROM events GROUP BY ALL
+ORDER BY doc_count DESC, who LIMIT 3
+""")
+def bucket_terms_frequent_skewed(spark, sf):
+    """One value has a third of all rows."""
+    who = "CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id * user_id END"
+    return frequent_buckets(table(spark, sf, "events"), Terms("who", who, top_n=3), tracked=64, cells=1024)

@@ -7,13 +7,14 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from meterflow.operators.filters import simple_filter
-from meterflow.operators.flatten import flatten
+from meterflow.operators.flatten import flatten, set_field
 from meterflow.operators.lookup import enrich, missing_keys
 from meterflow.operators.mapping import map_values
 from meterflow.operators.normalize import to_metrics
 from meterflow.operators.overlay import overlay
 from meterflow.operators.routing import Route, route, unmatched_routes
 from meterflow.operators.rows import transform_batches, transform_frame, transform_rows
+from meterflow.operators.versions import enrich_as_of
 from meterflow.plans.flow import Transform, apply_by_priority
 from meterflow.plans.templates import repeat_query
 from meterflow.queries.registry import flat, query, table
@@ -347,3 +348,79 @@ def udf_frame(spark, sf):
         return df.where("role <> 'system'").unionByName(totals)
 
     return transform_frame(rows, rebuild)
+
+
+_AS_OF_SQL = """
+WITH e AS (SELECT event_id, ts, value, event_type, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS who FROM events),
+p AS (SELECT who, ts AS since, value AS paid, event_id AS purchase FROM e WHERE event_type = 'purchase')
+"""
+
+
+def _with_hot_user(spark, sf):
+    """Events of which a third belong to one user, and purchases as the versions of a user's document."""
+    events = table(spark, sf, "events").withColumn("who", F.when(F.col("event_id") % 3 == 0, -1).otherwise(F.col("user_id")))
+    purchases = events.where("event_type = 'purchase'").select("who", F.col("ts").alias("since"), F.col("value").alias("paid"), F.col("event_id").alias("purchase"))
+    return to_metrics(events, "events", "value", ["event_id", "who"], ts="ts"), purchases
+
+
+@query("lookup_as_of", _AS_OF_SQL + """
+SELECT e.event_id, e.who, 'value' AS metric_field, e.value AS metric, p.paid, p.purchase
+FROM e ASOF LEFT JOIN p ON e.who = p.who AND e.ts >= p.since
+""")
+def lookup_as_of(spark, sf):
+    """Every event with the last purchase of its user; one user has a third of all rows."""
+    frame, purchases = _with_hot_user(spark, sf)
+    return flat(enrich_as_of(frame, purchases, "who", "who", "since"))
+
+
+@query("lookup_as_of_ended", _AS_OF_SQL + """
+SELECT e.event_id, e.who, 'value' AS metric_field, e.value AS metric, CASE WHEN p.since + INTERVAL 6 HOUR > e.ts THEN p.paid ELSE -1 END AS paid
+FROM e ASOF LEFT JOIN p ON e.who = p.who AND e.ts >= p.since
+""")
+def lookup_as_of_ended(spark, sf):
+    """A version counts for six hours."""
+    frame, purchases = _with_hot_user(spark, sf)
+    ending = purchases.withColumn("until", F.col("since") + F.expr("INTERVAL 6 HOURS"))
+    return flat(enrich_as_of(frame, ending, "who", "who", "since", valid_to="until", include=["paid"], defaults={"paid": -1.0}, falsy_as_missing=False))
+
+
+_MAP_ATTRIBUTE_SQL = """
+SELECT event_id, event_type, 'value' AS metric_field, value AS metric, {shown} AS shown,
+  MAP {{'kind': event_type, 'user': CAST(user_id AS VARCHAR)}}['kind'] AS kind FROM events
+"""
+
+
+def _map_frame(spark, sf):
+    tags = F.create_map(F.lit("kind"), F.col("event_type"), F.lit("user"), F.col("user_id").cast("string"))
+    events = table(spark, sf, "events").withColumn("tags", tags)
+    return to_metrics(events, "events", "value", ["event_id", "event_type", "tags"])
+
+
+def _mapped_with_map(spark, sf, keys):
+    mapping = {"error": "bad", **{f"other-{i}": str(i) for i in range(keys - 1)}}
+    mapped = map_values(_map_frame(spark, sf), mapping, "event_type", "shown", default="fine")
+    return mapped.select("attributes.event_id", "attributes.event_type", "metric_field", "metric", "attributes.shown", F.col("attributes.tags")["kind"].alias("kind"))
+
+
+@query("map_with_map_attribute", _MAP_ATTRIBUTE_SQL.format(shown="CASE event_type WHEN 'error' THEN 'bad' ELSE 'fine' END"))
+def map_with_map_attribute(spark, sf):
+    """Three keys on rows that hold a map."""
+    return _mapped_with_map(spark, sf, 3)
+
+
+@query("map_large_with_map_attribute", _MAP_ATTRIBUTE_SQL.format(shown="CASE event_type WHEN 'error' THEN 'bad' ELSE 'fine' END"))
+def map_large_with_map_attribute(spark, sf):
+    """The same values by 301 keys."""
+    return _mapped_with_map(spark, sf, 301)
+
+
+@query("lookup_with_map_attribute", """
+SELECT e.event_id, 'value' AS metric_field, e.value AS metric, e.event_type AS kind, c.c_name, c.c_mktsegment
+FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey
+""")
+def lookup_with_map_attribute(spark, sf):
+    """A lookup by a value out of a map, with salted keys."""
+    frame = _map_frame(spark, sf)
+    frame = set_field(frame, "user", F.col("attributes.tags")["user"].cast("bigint"))
+    found = enrich(frame, table(spark, sf, "customer").drop("c_nationkey", "c_acctbal"), "user", "c_custkey", salts=3)
+    return found.select("attributes.event_id", "metric_field", "metric", F.col("attributes.tags")["kind"].alias("kind"), "attributes.c_name", "attributes.c_mktsegment")

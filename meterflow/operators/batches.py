@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow import frame
 from meterflow.functions.durations import micros
-from meterflow.functions.paths import quote
+from meterflow.functions.keys import row_hash
+from meterflow.functions.paths import column, quote
+from meterflow.streaming.workspace import stored
 
 
 # Fixed value: rows and period of a batch where no rate is given.
@@ -42,62 +43,35 @@ def local_batches(df: DataFrame, size: int | str = DEFAULT_RATE, name: str = "ba
     return df.withColumn(name, F.shiftleft(partition, 33) + _whole(within, rows_per_batch(size)))
 
 
-def number_rows(df: DataFrame, seq: str, name: str = "row_no", rows_per_range: int = 1_000_000) -> DataFrame:
-    """Consecutive row numbers from 0 in the order of a unique integer column.
+def number_rows(df: DataFrame, seq: str, name: str = "row_no") -> DataFrame:
+    """Consecutive row numbers from 0 in the order of an integer column, nulls first.
 
-    The order is cut into ranges of about ``rows_per_range`` rows. Range sizes are counted with
-    map-side combining and summed up, rows are numbered inside their range only, and no task ever
-    sorts more than one range. The cut points only balance the work; any choice gives the same
-    numbers. ``df`` is read three times (twice only its key), so write out an expensive one first.
+    Rows are sorted by ranges of (key, hash of the row) and written below the workspace; each range is numbered by itself
+    and moved by the rows of the ranges before. Keys that repeat, or are all null, are cut by the hash, and numbered in an
+    order that is the same in every run. ``df`` is read once, and once more (Spark's sample) to find the ranges.
     """
     key = F.col(quote(seq)).cast("bigint")
-    cuts = _cut_points(df.select(key.alias("k")), rows_per_range)
-    if not cuts:
-        # everything fits one range
-        return df.withColumn(name, F.row_number().over(Window.orderBy(key)).cast("bigint") - 1)
-    splits = [float("-inf"), *cuts, float("inf")]
-    ranged = df.withColumn("_order", F.coalesce(key.cast("double"), F.lit(-1e300)))
-    ranged = Bucketizer(splits=splits, inputCol="_order", outputCol="_range").transform(ranged)
-    ranged = ranged.withColumn("_range", F.col("_range").cast("int"))
-    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range, at most MAX_RANGES
-    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy("_range").orderBy(key)
-    numbered = ranged.withColumn("_row", F.row_number().over(within).cast("bigint") - 1)
-    return (
-        numbered.join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.col("_before") + F.col("_row"))
-        .drop("_order", "_range", "_row", "_before")
-    )
-
-
-MAX_RANGES = 100_000
-_SAMPLE_PER_RANGE = 20
-
-
-def _cut_points(keys: DataFrame, rows_per_range: int) -> list[float]:
-    """Less than MAX_RANGES quantiles of the key, estimated on a bounded sample."""
-    rows = keys.count()
-    ranges = min(MAX_RANGES, -(-rows // rows_per_range))
-    if ranges <= 1:
-        return []
-    share = min(1.0, ranges * _SAMPLE_PER_RANGE / rows)
-    steps = F.split(F.lit(",".join(str(i / ranges) for i in range(1, ranges))), ",").cast("array<double>")
-    cuts = F.percentile_approx("k", steps, 10 * ranges)
-    found = keys.sample(share, seed=7).agg(cuts.alias("cuts")).first()["cuts"]
-    if not found:
-        # an unlucky empty sample
-        found = keys.agg(cuts.alias("cuts")).first()["cuts"]
-    return sorted({float(c) for c in found or ()})
+    order = [F.asc_nulls_first("_key"), F.asc("_hash")]
+    ranged = df.withColumns({"_key": key, "_hash": row_hash(df)}).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = stored(ranged.drop("_key", "_hash").withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    # one row for each range: bounded by the number of partitions
+    sizes = sorted(tuple(r) for r in rows.groupBy(part).count().collect())
+    starts, total = [], 0
+    for p, n in sizes:
+        starts.append((p, total))
+        total += n
+    before = F.broadcast(df.sparkSession.createDataFrame(starts, "_part bigint, _before bigint"))
+    numbered = rows.withColumn("_own", part).join(before, F.col("_own") == F.col("_part"))
+    return numbered.withColumn(name, F.col("_before") + within).select(*[column((c,)) for c in df.columns], name)
 
 
 def batch_ids(
-    df: DataFrame, size: int | str = DEFAULT_RATE, seq: str = frame.SEQ, name: str = "batch_id", **options
+    df: DataFrame, size: int | str = DEFAULT_RATE, seq: str = frame.SEQ, name: str = "batch_id"
 ) -> DataFrame:
     """Batches of exactly ``size`` rows (the last may be short) in the order of ``seq``."""
     rows = rows_per_batch(size)
-    numbered = number_rows(df, seq, "_number", **options)
+    numbered = number_rows(df, seq, "_number")
     return numbered.withColumn(name, _whole(F.col("_number"), rows)).drop("_number")
 
 

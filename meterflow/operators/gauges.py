@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, types as T
 from pyspark.sql import functions as F
 
 from meterflow import frame
 from meterflow.functions.paths import column, leaves
-from meterflow.functions.values import literal
+from meterflow.functions.values import INTEGERS, literal
 from meterflow.operators.flatten import flat_view, merged
 from meterflow.sinks.formats import entries
 
@@ -51,15 +52,34 @@ def _text_map(df: DataFrame, extra: Mapping[str, Column], sep: str) -> Column:
     return F.map_from_entries(F.concat(own, F.array(*more)) if more else own)
 
 
-def last_value(df: DataFrame, series: Sequence[str], value: str, order: Sequence[str]) -> DataFrame:
+def last_value(df: DataFrame, series: Sequence[str], value: str, order: Sequence[str], unique: bool | None = None) -> DataFrame:
     """Latest value of each series; later entries of ``order`` break ties, then the value itself.
 
-    Every task first keeps one row per series, so a series holding most rows is no hot spot. A
-    single order column keeps the state in fixed-width buffers, which is the fastest form.
+    Every task first keeps one row per series, so a series holding most rows is no hot spot. Where the order tells all
+    rows of a series apart (``unique``; the default is whether it holds the frame's ``seq``), times and whole numbers are
+    packed into one decimal and the state has fixed-width buffers, which is the fastest form. Else ties are left to the
+    value, and the state is a struct that is sorted.
     """
     keys = [column((s,)) for s in series]
-    if len(order) == 1:
-        latest = F.max_by(column((value,)), column((order[0],)))
+    unique = frame.SEQ in order if unique is None else unique
+    packed = _packed(df, order) if unique else None
+    if packed is not None:
+        latest = F.max_by(column((value,)), packed)
     else:
         latest = F.max(F.struct(*[column((o,)) for o in order], column((value,)).alias("_value"))).getField("_value")
     return df.groupBy(*keys).agg(latest.alias(value))
+
+
+def _packed(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """A time and a whole number, or either, as one decimal in the same order, nulls lowest; none for other columns."""
+    kinds = [df.schema[o].dataType for o in order]
+    times = [isinstance(t, (T.TimestampType, T.TimestampNTZType)) for t in kinds]
+    if len(order) > 2 or not all(t or isinstance(k, INTEGERS) for t, k in zip(times, kinds)) or times[1:] == [True] or (len(order) == 2 and not times[0]):
+        return None
+    parts = [F.unix_micros(column((o,)).cast("timestamp")) if t else column((o,)).cast("bigint") for o, t in zip(order, times)]
+    # times have 19 digits at most, whole numbers 20: each as at least 1, and 0 for null
+    shifted = [F.coalesce(p.cast("decimal(20,0)") + F.lit(Decimal((1 << 63) + 1)), F.lit(Decimal(0))) for p in parts]
+    if len(order) == 1:
+        return shifted[0].cast("decimal(38,0)")
+    first = F.coalesce(parts[0].cast("decimal(18,0)") + F.lit(Decimal(10**17)), F.lit(Decimal(0)))
+    return (first.cast("decimal(18,0)") * F.lit(Decimal(10**20))).cast("decimal(38,0)") + shifted[1]

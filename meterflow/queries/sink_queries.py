@@ -47,7 +47,7 @@ SELECT CAST(n // 300 AS BIGINT) AS batch_id, COUNT(*) AS n_rows, '[' || string_a
 FROM t GROUP BY n // 300
 """)
 def array_batches(spark, sf):
-    batches = batch_ids(json_lines(_events(spark, sf)), 300, "seq", rows_per_range=5_000)
+    batches = batch_ids(json_lines(_events(spark, sf)), 300, "seq")
     return json_arrays(batches, "batch_id", "seq")
 
 
@@ -56,7 +56,7 @@ SELECT o_orderkey, o_totalprice, CAST((row_number() OVER (ORDER BY o_orderkey) -
 """)
 def batches_in_order(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    return batch_ids(orders, 2000, "o_orderkey", rows_per_range=10_000)
+    return batch_ids(orders, 2000, "o_orderkey")
 
 
 @query("batch_sizes", "SELECT COUNT(*) AS n_rows, true AS within_limit, true AS enough_batches FROM lineitem")

@@ -171,12 +171,16 @@ def json_lines(df: DataFrame, width: int | None = None, sep: str = ".") -> DataF
 
 
 def json_arrays(df: DataFrame, batch: str, order: str, value: str = "value", most: int = 10_000) -> DataFrame:
-    """One JSON array text per batch, in ``order``; a batch of more than ``most`` rows fails, see ``batch_ids``."""
+    """One JSON array text per batch, in ``order``; a batch of more than ``most`` rows fails, see ``batch_ids``.
+
+    Batches are counted, with map-side combining, before any is gathered: a batch that is too long fails the job first.
+    """
+    long = df.groupBy(batch).agg(F.count("*").alias("n")).where(F.col("n") > most).agg(F.count("*")).scalar()
+    failure = F.raise_error(F.lit(f"a batch has more than {most} rows")).cast("boolean")
+    bounded = df.where(F.when(long > 0, failure).otherwise(True))
     rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(value).alias("v"))))
     text = F.array_join(F.transform(rows, lambda r: r.getField("v")), ",")
-    return df.groupBy(batch).agg(
-        F.count("*").alias("n_rows"), F.concat(F.lit("["), text, F.lit("]")).alias("payload")
-    ).withColumn("payload", F.when(F.col("n_rows") > most, F.raise_error(F.lit(f"a batch has more than {most} rows"))).otherwise(F.col("payload")))
+    return bounded.groupBy(batch).agg(F.count("*").alias("n_rows"), F.concat(F.lit("["), text, F.lit("]")).alias("payload"))
 
 
 def envelope(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.functions.durations import micros
+from meterflow.functions.paths import quote
 
 
 def sql_source(
@@ -17,11 +19,20 @@ def sql_source(
 ) -> DataFrame:
     """Rows of a Spark SQL query; ``:name`` markers take their values from ``args``.
 
-    ``tables`` are registered as temporary views under their names first.
+    ``tables`` are known by their names within this query only: calls at the same time do not see each other's.
     """
-    for name, table in (tables or {}).items():
-        table.createOrReplaceTempView(name)
-    return spark.sql(query, args=dict(args or {}))
+    views = {name: f"source_{uuid.uuid4().hex}" for name in tables or {}}
+    for name, view in views.items():
+        tables[name].createOrReplaceTempView(view)
+    if views:
+        named = ", ".join(f"{quote(name)} AS (SELECT * FROM {view})" for name, view in views.items())
+        query = f"WITH {named} SELECT * FROM (\n{query.strip().rstrip(';')}\n)"
+    try:
+        # the plan is resolved here and needs the names no longer
+        return spark.sql(query, args=dict(args or {}))
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)
 
 
 def jdbc_source(

@@ -379,13 +379,12 @@ def test_rates():
     list(range(1000)), [i * i * i for i in range(700)], [2**60 + i for i in range(300)] + [-5, 0, 7],
     list(range(-50, 50)) + [10**12 + i for i in range(500)], [3],
 ])
-@pytest.mark.parametrize("per_range", [20, 100_000])
-def test_numbering_against_sorting(spark, keys, per_range):
+def test_numbering_against_sorting(spark, keys):
     shuffled = random.Random(1).sample(keys, len(keys))
     df = spark.createDataFrame([(k,) for k in shuffled], "k bigint").repartition(5)
-    got = {r["k"]: r["row_no"] for r in number_rows(df, "k", rows_per_range=per_range).collect()}
+    got = {r["k"]: r["row_no"] for r in number_rows(df, "k").collect()}
     assert got == {k: i for i, k in enumerate(sorted(keys))}
-    sizes = Counter(r["batch_id"] for r in batch_ids(df, 64, "k", rows_per_range=per_range).collect())
+    sizes = Counter(r["batch_id"] for r in batch_ids(df, 64, "k").collect())
     assert [sizes[i] for i in sorted(sizes)] == [min(64, len(keys) - 64 * i) for i in range(-(-len(keys) // 64))]
 
 
@@ -395,6 +394,19 @@ def test_numbering_keeps_rows_without_a_key(spark):
     assert number_rows(df.where("k > 5"), "k").count() == 0
 
 
+def test_numbering_of_null_and_repeated_keys_is_many_tasks(spark):
+    df = spark.range(4000).selectExpr("CAST(NULL AS BIGINT) AS k", "id AS `_own`", "map('a', id) AS m")
+    rows = number_rows(df, "k", "no")
+    assert rows.columns == ["k", "_own", "m", "no"]
+    assert sorted(r["no"] for r in rows.collect()) == list(range(4000))
+    assert {r["_own"]: r["no"] for r in rows.collect()} == {r["_own"]: r["no"] for r in number_rows(df.repartition(7), "k", "no").collect()}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+    mixed = spark.range(3000).selectExpr("IF(id % 3 = 0, 7, id % 50) AS k", "id")
+    got = sorted((r["no"], r["k"]) for r in number_rows(mixed, "k", "no").collect())
+    assert [n for n, _ in got] == list(range(3000)) and [k for _, k in got] == sorted(k for _, k in got)
+
+
 def test_local_batches_follow_the_partition(spark):
     df = local_batches(spark.range(0, 1000, 1, 4), 64).withColumn("p", F.spark_partition_id())
     sizes = df.groupBy("batch_id").agg(F.count("*").alias("n"), F.count_distinct("p").alias("p"))

@@ -24,18 +24,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meterflow.llm.shared import shared_dir, sized, stored
+from meterflow.llm.shared import _offsets, _power, mixed, pieces, shared_dir, sized, stored
 
 # fixed values: the polynomial of CRC-32C (reflected), the constant of the mask
 CASTAGNOLI = 0x82F63B78
 MASK_DELTA = 0xA282EAD8
 
 #: Bytes of frames from which a file is closed; a longer record is a file of its own.
-FILE_BYTES = 16 << 20
+FILE_BYTES = 8 << 20
 #: Bytes whose checksum is taken at once.
 BLOCK = 1024
-#: Different pieces of text whose ids a task remembers; then it starts anew.
-REMEMBERED = 400_000
+#: Different pieces of text whose ids a worker remembers; then it starts anew.
+REMEMBERED = 1_000_000
 #: Longest piece that is remembered.
 PIECE = 64
 
@@ -43,13 +43,31 @@ PIECE = 64
 HEAD, HEAD_BYTES = "<qII", 16
 NO_ID, WIDE = 1, 2
 
-#: Pieces that can be encoded alone: a token starts after each run of letters or digits, and at white space after a
-#: character that surely is none. Texts with other white space or invisible characters are cut by the second rule only.
-PIECES = re.compile(r"[\t-\r ]*(?:[^\W_]+|[^\t-\r ]+)|[\t-\r ]+")
+#: Bytes of white space, of ASCII letters and digits, and of other visible ASCII characters.
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[9, 10, 11, 12, 13, 32]] = 1
+_CLASS[33:127] = 3
+for _range in (range(48, 58), range(65, 91), range(97, 123)):
+    _CLASS[_range] = 2
+_WEIGHT = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+
+#: Texts with other white space or invisible characters are only cut after a character that surely is visible.
 UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f-\u2064\u3000\ufeff]")
 CUT = re.compile(r"(?<=[!-~\w])(?=[\t\n\r ])")
 
 
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces begin that can be encoded alone, as a token starts there whatever comes before.
+
+    That is at white space after another character, and at ASCII punctuation after an ASCII letter or digit.
+    """
+    kind = _CLASS[data]
+    first = np.zeros(len(data), bool)
+    first[1:] = ((kind[1:] == 1) & (kind[:-1] != 1)) | ((kind[1:] == 3) & (kind[:-1] == 2))
+    first[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(first)
+
+
 class Crc32c:
     """CRC-32C of byte arrays: table ``steps[d]`` gives each byte's share when d bytes follow it, shares are combined by xor."""
 
@@ -61,16 +79,23 @@ class Crc32c:
         steps[0] = row
         for d in range(1, len(steps)):
             steps[d] = (steps[d - 1] >> 8) ^ row[steps[d - 1] & 0xFF]
-        self.steps = steps
+        self.steps, self.short = steps, steps[:8].tolist()
         # the register moved past one block: its byte k is followed by the block less the bytes before it
         self.past = [steps[BLOCK - 1 - k].tolist() for k in range(4)]
 
+    def _eight(self, data: bytes) -> int:
+        a, b, c, d, e, f, g, h = data
+        s = self.short
+        return s[7][a ^ 255] ^ s[6][b ^ 255] ^ s[5][c ^ 255] ^ s[4][d ^ 255] ^ s[3][e] ^ s[2][f] ^ s[1][g] ^ s[0][h] ^ 0xFFFFFFFF
+
     def _share(self, data: np.ndarray) -> np.ndarray:
         """Of equally long rows of at most a block."""
         n = data.shape[-1]
         return np.bitwise_xor.reduce(self.steps[np.arange(n - 1, -1, -1), data], axis=-1) if n else np.zeros(data.shape[:-1], np.uint32)
 
     def __call__(self, data: bytes) -> int:
+        if len(data) == 8:
+            return self._eight(data)
         raw = np.frombuffer(data, np.uint8)
         # the register starts with ones: as if the first four bytes were inverted
         raw = np.concatenate([raw[:4] ^ np.uint8(255), raw[4:]])
@@ -95,7 +120,7 @@ def frame(payload: bytes, crc: Crc32c) -> bytes:
     return b"".join([length, struct.pack("<I", masked(crc(length))), payload, struct.pack("<I", masked(crc(payload)))])
 
 
-def frames(data: bytes, crc: Crc32c | None) -> Iterator[tuple[int, memoryview]]:
+def frames(data: bytes | pa.Buffer, crc: Crc32c | None) -> Iterator[tuple[int, memoryview]]:
     """``offset, payload`` of each record of a file; ``crc`` also checks the payloads. A broken file is an error."""
     view, at, check = memoryview(data), 0, crc or _checksum()
     while True:
@@ -115,7 +140,7 @@ def frames(data: bytes, crc: Crc32c | None) -> Iterator[tuple[int, memoryview]]:
         raise ValueError(f"bytes after the last frame at {at}")
 
 
-_made: dict[str, Crc32c] = {}
+_made: dict[str, object] = {}
 
 
 def _checksum() -> Crc32c:
@@ -124,6 +149,13 @@ def _checksum() -> Crc32c:
     return _made["crc"]
 
 
+def _encoder(tokenizer: str) -> Encoder:
+    """The worker's encoder: what one task learned serves the next."""
+    if _made.get("tokenizer") != tokenizer:
+        _made.update(tokenizer=tokenizer, encoder=Encoder(tokenizer))
+    return _made["encoder"]
+
+
 def packed(doc_id: int | None, ids: np.ndarray) -> bytes:
     """The payload of a record; ids below 65536 take two bytes each."""
     wide = bool(len(ids)) and int(ids.max()) > 0xFFFF
@@ -140,7 +172,7 @@ def unpacked(payload: memoryview | bytes) -> tuple[int | None, np.ndarray]:
 
 
 class Encoder(dict):
-    """Ids of pieces of text as bytes; new pieces are encoded some hundreds at a time."""
+    """Ids of pieces of text, both as bytes; new pieces are encoded some hundreds at a time."""
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -148,42 +180,62 @@ class Encoder(dict):
 
         super().__init__()
         self.library = Tokenizer.from_str(tokenizer)
-        self.special = [t["content"] for t in json.loads(tokenizer).get("added_tokens") or []]
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self.library.encode(piece, add_special_tokens=False).ids).tobytes()
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        vocabulary = self.library.get_vocab()
+        # a character of a byte-level token is one byte
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        self.sizes[list(vocabulary.values())] = [len(t) for t in vocabulary]
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = array("I", self.library.encode(piece.decode(), add_special_tokens=False).ids).tobytes()
         if len(piece) <= PIECE:
             self[piece] = ids
         return ids
 
-    def _pieces(self, text: str) -> list[str]:
-        if any(s in text for s in self.special):
-            return [text]
-        return CUT.split(text) if UNUSUAL.search(text) else PIECES.findall(text)
-
-    def _meet(self, new: list[str]) -> None:
-        """Encodes new pieces in one text: each starts with white space and ends with a letter or digit."""
+    def _meet(self, new: list[bytes]) -> None:
+        """Encodes new pieces in one text: each starts with white space and ends with a visible character."""
         for k in range(0, len(new), 500):
             part = new[k:k + 500]
-            found = self.library.encode("".join(part), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            first = np.fromiter((o[0] for o in found.offsets), np.int64, len(ids))
-            ends = np.cumsum([len(p) for p in part])
-            cuts = np.searchsorted(first, ends[:-1]).tolist()
-            for p, a, b in zip(part, [0, *cuts], [*cuts, len(ids)], strict=True):
-                self[p] = ids[a:b].tobytes()
-
-    def ids(self, text: str) -> np.ndarray:
-        """The ids of the whole text."""
-        if not text:
-            return np.zeros(0, "<u4")
-        pieces = self._pieces(text)
+            ids = np.array(self.library.encode(b"".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            ends = np.cumsum(self.sizes[ids])
+            cuts = np.searchsorted(ends, np.cumsum([len(p) for p in part])) + 1
+            raw, at = ids.tobytes(), 0
+            for p, cut in zip(part, (4 * cuts).tolist(), strict=True):
+                self[p] = raw[at:cut]
+                at = cut
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each whole text."""
         if len(self) >= REMEMBERED:
             self.clear()
-        new = [p for p in set(pieces) if p not in self and len(p) <= PIECE and p[0] in " \n" and p[-1].isalnum()]
-        if len(new) > 8:
-            self._meet(new)
-        return np.frombuffer(b"".join([self[p] for p in pieces]), "<u4")
+        plain = texts.to_pylist()
+        offsets = _offsets(texts)
+        raw = texts.buffers()[2].slice(offsets[0], offsets[-1] - offsets[0]).to_pybytes() if offsets[-1] > offsets[0] else b""
+        offsets = offsets - offsets[0]
+        data = np.frombuffer(raw, np.uint8)
+        starts = piece_starts(data, offsets)
+        ends = np.append(starts[1:], len(data))
+        p, q = _power(len(data) + 1)
+        hashes = mixed(np.add.reduceat(_WEIGHT[data] * p[:len(data)], starts) * q[starts]) if len(starts) else np.zeros(0, np.uint64)
+        # equal pieces of these texts once, then by their bytes
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        distinct = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        self._meet([d for d in distinct if d not in self and len(d) <= PIECE and d[0] in b" \n" and (
+            d[-1:].isalnum() or d[-1] > 127 and not UNUSUAL.search(d.decode()))])
+        known = [self[d] for d in distinct]
+        sizes = np.array([len(k) for k in known], np.int64) // 4
+        flat = np.frombuffer(b"".join(known), "<u4")
+        lengths = sizes[which]
+        total = np.concatenate([[0], np.cumsum(lengths)])
+        out = flat[np.repeat((np.cumsum(sizes) - sizes)[which] - total[:-1], lengths) + np.arange(total[-1])]
+        cuts = total[np.searchsorted(starts, offsets)]
+        found = [out[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        for k, text in enumerate(plain):
+            special = any(s in text for s in self.special)
+            if special or UNUSUAL.search(text):
+                parts = [text] if special else CUT.split(text)
+                found[k] = np.frombuffer(b"".join([self[x.encode()] for x in parts]) if text else b"", "<u4")
+        return found
 
 
 def _cuttable(tokenizer: str) -> bool:
@@ -217,18 +269,20 @@ def write_records(
     rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("_id", "_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, crc = Encoder(shipped.value), _checksum()
+        encoder, crc = _encoder(shipped.value), _checksum()
         end = np.array([end_id], "<u4")
         blob: list[bytes] = []
         size = 0
         for batch in batches:
-            for doc_id, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                record = frame(packed(doc_id, np.concatenate([encoder.ids(t.as_py()), end])), crc)
-                blob.append(record)
-                size += len(record)
-                if size >= file_bytes:
-                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(blob)], pa.binary())], ["blob"])
-                    blob, size = [], 0
+            for part in pieces(batch, "_text", 2 << 20):
+                found = encoder.ids(part.column(1))
+                for doc_id, ids in zip(part.column(0).to_pylist(), found, strict=True):
+                    record = frame(packed(doc_id, np.concatenate([ids, end])), crc)
+                    blob.append(record)
+                    size += len(record)
+                    if size >= file_bytes:
+                        yield pa.RecordBatch.from_arrays([pa.array([b"".join(blob)], pa.binary())], ["blob"])
+                        blob, size = [], 0
         if blob:
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(blob)], pa.binary())], ["blob"])
 
@@ -248,7 +302,7 @@ def _write_index(spark: SparkSession, folder: str) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, data in zip(batch.column(0), batch.column(1), strict=True):
-                found = [(at, len(p), *struct.unpack_from(HEAD, p, 0)) for at, p in frames(data.as_buffer().to_pybytes(), None)]
+                found = [(at, len(p), *struct.unpack_from(HEAD, p, 0)) for at, p in frames(data.as_buffer(), None)]
                 at, length, doc, flags, n = (np.array(c, np.int64) for c in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([
                     pa.array([name.as_py()] * len(at)), pa.array(at), pa.array(length),
@@ -296,7 +350,7 @@ def read_records(spark: SparkSession, folder: str, ids: bool = True) -> DataFram
             for start, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 chunk: list[tuple] = []
                 held = 0
-                for _, payload in frames(data.as_buffer().to_pybytes(), crc):
+                for _, payload in frames(data.as_buffer(), crc):
                     doc_id, values = unpacked(payload)
                     chunk.append((doc_id, start, len(values), zlib.crc32(values), values if ids else None))
                     start, held = start + len(values), held + len(values)

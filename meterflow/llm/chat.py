@@ -185,10 +185,11 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(turns: DataFrame) -> Model:
     """Model from all labelled turns ``conv, turn, role, text``; markers of first lines keep their prior.
 
-    A turn without a turn of the number before it counts as a first one; other roles and null roles teach nothing.
+    A turn without a turn of the number before it counts as a first one; other roles and null roles teach nothing. Where
+    the turn before is there more than once, its smallest role counts.
     """
     # the turn before by a join on its number: no conversation is sorted as a whole
-    before = turns.select(F.col("conv").alias("_conv"), (F.col("turn") + 1).alias("_turn"), F.col("role").alias("before"))
+    before = turns.groupBy(F.col("conv").alias("_conv"), (F.col("turn") + 1).alias("_turn")).agg(F.min("role").alias("before"))
     rows = turns.join(before, (F.col("conv") == F.col("_conv")) & (F.col("turn") == F.col("_turn")), "left")
     rows = rows.select("role", "before", known("text").alias("text"))
     counts = rows.mapInArrow(_counter, "kind string, i int, j int, n double").groupBy("kind", "i", "j").agg(F.sum("n").alias("n"))
@@ -208,7 +209,7 @@ def parse(lines: DataFrame, model: Model, part: int = PART) -> DataFrame:
     sent = lines.sparkSession.sparkContext.broadcast(model)
     every = lines.select("conv", F.col("line").cast("long").alias("line"), known("text").alias("text"))
     rows = every.where("conv is not null and line is not null")
-    rows = stored(rows.withColumn("part", F.floor(F.col("line") / F.lit(part)).cast("long")), "lines")
+    rows = stored(rows.withColumn("part", F.call_function("div", F.col("line") - F.pmod("line", F.lit(part)), F.lit(part).cast("long")).cast("long")), "lines")
     first = rows.groupBy("conv").agg(F.min("part").alias("first_part"))
 
     def read(part_rows: pa.Table) -> tuple[list, list, np.ndarray]:
@@ -298,15 +299,16 @@ def render(parsed: DataFrame) -> DataFrame:
     return parsed.withColumn("rendered", F.concat(F.when(F.col("opens"), head).otherwise(""), "text"))
 
 
-#: Line numbers a turn has room for in written transcripts.
-TURN_LINES = 1 << 20
+#: Line numbers a turn has room for in written transcripts: more than a text can have lines.
+TURN_LINES = 1 << 31
 
 
 def transcript_lines(conversations: DataFrame) -> DataFrame:
     """``conv, line, text`` of conversations written as transcripts, as they are found on the web.
 
     A conversation's style follows from its number: names, headings or question and answer marks; every fourth turn of
-    some has no marker. Lines are numbered by turn, ``TURN_LINES`` apart.
+    some has no marker. Lines are numbered by turn, ``TURN_LINES`` apart; without a turn or a conversation they have no
+    place, and their number is null.
     """
     style = F.pmod(F.xxhash64("conv"), F.lit(4))
     user = F.element_at(F.array(*[F.lit(x) for x in ("User: ", "### Human: ", "Q: ", "**User**: ")]), style.cast("int") + 1)
@@ -315,4 +317,5 @@ def transcript_lines(conversations: DataFrame) -> DataFrame:
     bare = (style == 3) & (F.pmod("turn", F.lit(4)) == 3)
     text = F.concat(F.when(bare, "").otherwise(named), known("text"))
     lines = conversations.select("conv", "turn", F.posexplode(F.split(text, "\n")).alias("k", "text"))
-    return lines.where("conv is not null and turn is not null").select("conv", (F.col("turn") * TURN_LINES + F.col("k")).alias("line"), "text")
+    number = F.when(F.col("conv").isNotNull(), F.col("turn") * F.lit(TURN_LINES) + F.col("k"))
+    return lines.select("conv", number.alias("line"), "text")

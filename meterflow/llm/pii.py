@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 from meterflow.llm.shared import shared_dir
 
 # fixed values: the patterns of the kinds, in the order of the digest
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# a match that fails at the first digit of a run fails at the others too
+IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
@@ -62,11 +64,30 @@ def _digits(text: str) -> str:
     return "".join(c for c in text if c in "0123456789")
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Leftmost matches of ``[A-Za-z0-9._%+-]+@`` and a domain, in time linear in the text.
+
+    A match holds one @. From each, the local part is as long as characters and the match before allow.
+    """
+    out: list[tuple[int, int]] = []
+    at, low = text.find("@"), 0
+    while at >= 0:
+        start = at
+        while start > low and text[start - 1] in LOCAL:
+            start -= 1
+        domain = DOMAIN.match(text, at + 1) if start < at else None
+        if domain:
+            out.append((start, domain.end()))
+        low = domain.end() if domain else at + 1
+        at = text.find("@", low)
+    return out
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Matches of the four base kinds that pass their checks, by kind and start."""
     out = []
     if "@" in text:
-        out += [("email", *m.span()) for m in EMAIL.finditer(text)]
+        out += [("email", *span) for span in emails(text)]
     if "." in text:
         # a part of many digits is above 255 whatever its value
         out += [("ip", *m.span()) for m in IP.finditer(text)

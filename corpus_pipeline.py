@@ -24,8 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """The documents with ``_key``, a hash of id and text: ids may be null or stand for different texts."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull()))
+    """``_key``, a hash of id and text, since ids may be null or stand for different texts; id, text, and the row in ``_row``."""
+    key = F.xxhash64("doc_id", "text", F.col("doc_id").isNull(), F.col("text").isNull())
+    return docs.select(key.alias("_key"), "doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     again = sized(stored(again, "repeated"))
     single = rest.join(again, F.col("_key") == F.col("_id"), "left_anti")
     folded = rest.join(again, F.col("_key") == F.col("_id"), "left_semi").dropDuplicates(["_key"])
-    return single.unionByName(folded).drop("_key").unionByName(docs.where("doc_id is null"))
+    return single.unionByName(folded).select("_row.*").unionByName(docs.where("doc_id is null"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +51,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(docs)
     found = decontaminate.leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "_key")
     gone = stored(found.select(F.col("_key").alias("_id")).distinct(), "leaks")
-    return rows.join(sized(gone), F.col("_key") == F.col("_id"), "left_anti").drop("_key")
+    return rows.join(sized(gone), F.col("_key") == F.col("_id"), "left_anti").select("_row.*")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from meterflow.queries import (  # noqa: F401
     source_queries,
     state_queries,
     stream_queries,
+    time_queries,
     transform_queries,
 )
 from meterflow.queries.registry import ORACLE, QUERIES

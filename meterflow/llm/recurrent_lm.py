@@ -28,8 +28,10 @@ from meterflow.llm.shared import known, shared_dir, stored
 WORDS, BUCKETS, STATE, CLASSES = 4096, 64, 24, 65
 #: Words whose counts are sent to every task; the counts of all others are joined. Bounds the broadcast.
 FREQUENT = 200_000
-#: Rounds of training, the fraction ``1 / SHARE`` of the training documents read in each, and trainers of a round.
-ROUNDS, SHARE, TRAINERS = 2, 8, 12
+#: Rounds of training; each reads its share of the training documents, and together they read every one once.
+ROUNDS = 2
+#: Weights of trainers that one task averages, until as few are left.
+AVERAGED = 16
 #: Streams read side by side and steps of a window, in training and in scoring.
 TRAIN_LANES, TRAIN_STEPS, LANES, STEPS = 192, 20, 512, 32
 #: Tokens scored together, and distinct words counted before they are handed on.
@@ -332,26 +334,23 @@ def score_documents(w: dict, s: Symbols, docs: list[np.ndarray], lanes: int = LA
     return total
 
 
-class Reader:
-    """Symbols of texts; remembers the buckets of words within a bound."""
+class Reader(dict):
+    """Symbols of words; remembers the buckets of other words within a bound."""
 
     def __init__(self, s: Symbols):
-        self.s, self.buckets = s, {}
+        super().__init__(s.number)
+        self.s = s
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > HELD:
+            self.clear()
+            self.update(self.s.number)
+        i = self[word] = self.s.first_bucket + bucket(word.decode("utf-8", "surrogatepass"))
+        return i
 
     def ids(self, tokens: list[bytes]) -> np.ndarray:
-        number, seen = self.s.number, self.buckets
-        out = np.empty(len(tokens) + 1, np.int32)
-        for k, t in enumerate(tokens):
-            i = number.get(t)
-            if i is None:
-                i = seen.get(t)
-                if i is None:
-                    if len(seen) > HELD:
-                        seen.clear()
-                    i = seen[t] = self.s.first_bucket + bucket(t.decode("utf-8", "surrogatepass"))
-            out[k] = i
-        out[-1] = self.s.end
-        return out
+        out = np.fromiter(map(self.__getitem__, tokens), np.int32, len(tokens))
+        return np.append(out, np.int32(self.s.end))
 
 
 def _packed(w: dict) -> bytes:
@@ -366,8 +365,32 @@ def _unpacked(raw: bytes, like: dict) -> dict:
     return out
 
 
-def train(docs: DataFrame, s: Symbols, rounds: int = ROUNDS, share: int = SHARE, trainers: int = TRAINERS) -> dict:
-    """Weights averaged over ``trainers`` tasks in each round; the driver sees that many copies of the weights."""
+def _averaged(found: DataFrame) -> DataFrame:
+    """``w, n`` of trainers as means weighted by their tokens, ``AVERAGED`` at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, mean = 0, None
+        for batch in batches:
+            for raw, n in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                own = np.frombuffer(raw.as_buffer(), np.float32) * np.float64(n)
+                mean, total = own if mean is None else mean + own, total + n
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array([(mean / total).astype(np.float32).tobytes()], pa.binary()), pa.array([total], pa.int64())], ["w", "n"])
+
+    left = found.count()
+    while left > AVERAGED:
+        groups = -(-left // AVERAGED)
+        found = stored(found.repartition(groups).mapInArrow(run, "w binary, n bigint"), "averaged")
+        left = found.count()
+    return found.coalesce(1).mapInArrow(run, "w binary, n bigint")
+
+
+def train(docs: DataFrame, s: Symbols, rounds: int = ROUNDS, tokens: list[int] | None = None) -> dict:
+    """Weights after every training document was read once, in ``rounds`` shares by the hash of id and text.
+
+    A round's trainers are the tasks that read the documents, so they grow with the input; each starts from the weights
+    before, and their mean, weighted by tokens, are the next ones. Means of many trainers are taken by tasks, the driver
+    sees one. ``tokens`` takes the number of tokens of each round.
+    """
     sc = docs.sparkSession.sparkContext
     w = new_weights(s)
     for r in range(rounds):
@@ -380,14 +403,15 @@ def train(docs: DataFrame, s: Symbols, rounds: int = ROUNDS, share: int = SHARE,
                 for t in batch.column(0).to_pylist():
                     trainer.feed(reader.ids(words(t)))
             trainer.finish()
-            yield pa.RecordBatch.from_arrays([pa.array([_packed(trainer.w)], pa.binary()), pa.array([trainer.tokens], pa.int64())], ["w", "n"])
-
-        part = docs.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(share)) == r).select("_text").coalesce(trainers)
-        found = [x for x in part.mapInArrow(run, "w binary, n bigint").collect() if x["n"]]
-        total = sum(x["n"] for x in found)
-        if total:
-            mean = sum(np.frombuffer(x["w"], np.float32).astype(np.float64) * (x["n"] / total) for x in found)
-            w = _unpacked(mean.astype(np.float32).tobytes(), w)
+            if trainer.tokens:
+                yield pa.RecordBatch.from_arrays([pa.array([_packed(trainer.w)], pa.binary()), pa.array([trainer.tokens], pa.int64())], ["w", "n"])
+
+        part = docs.where(F.pmod(F.xxhash64("_id", "_text"), F.lit(rounds)) == r).select("_text")
+        mean = _averaged(stored(part.mapInArrow(run, "w binary, n bigint"), "trained")).first()
+        if mean is not None:
+            w = _unpacked(bytes(mean["w"]), w)
+        if tokens is not None:
+            tokens.append(mean["n"] if mean is not None else 0)
         sent.unpersist()
     return w
 

@@ -152,7 +152,8 @@ def detect(docs: DataFrame, id_column: str = "doc_id", text: str = "text", thres
             raise ValueError("the columns pii and redacted are added and must not exist")
     else:
         keep = [id_column]
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_pii_text"))
+    # columns go by their place: Arrow functions resolve names, in which dots and quotes would count
+    source = docs.select(*[F.col(f"`{c}`").alias(f"_{k}") for k, c in enumerate(keep)], F.col(f"`{text}`").alias("_pii_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
     schema = f"{fields}, pii array<struct<kind:string,start:bigint,end:bigint,score:double>>"
     schema += ", redacted string" if redacted else ""
@@ -169,7 +170,8 @@ def detect(docs: DataFrame, id_column: str = "doc_id", text: str = "text", thres
                 names.append("redacted")
             yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return source.mapInArrow(run, schema)
+    found = source.mapInArrow(run, schema)
+    return found.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(keep)], *found.columns[len(keep):])
 
 
 def joined(spans: list) -> str:

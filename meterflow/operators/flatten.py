@@ -16,20 +16,21 @@ merge_fields = frame.merge_fields
 
 
 def flat_columns(
-    schema: T.StructType, sep: str = ".", max_array: int | None = None, base: Path = ()
+    schema: T.StructType, sep: str = ".", max_array: int | None = None, base: Path = (), maps: Mapping[str, Sequence[str]] | None = None,
 ) -> dict[str, Column]:
     """Flat name to column for every leaf; arrays give ``max_array`` numbered columns, a longer one fails the job.
 
-    Without ``max_array`` arrays are refused, as columns cannot follow their lengths. Maps stay columns.
+    Without ``max_array`` arrays are refused, as columns cannot follow their lengths. ``maps`` has the keys of maps by their
+    flat names: each gives a column, null where the key is missing, and another key fails the job. Other maps stay columns.
     """
     flat: dict[str, Column] = {}
     for path, dtype in leaves(schema):
-        _flatten_into(flat, sep.join(path), column((*base, *path)), dtype, sep, max_array)
+        _flatten_into(flat, sep.join(path), column((*base, *path)), dtype, sep, max_array, maps or {})
     return flat
 
 
 def _flatten_into(
-    flat: dict[str, Column], name: str, value: Column, dtype: T.DataType, sep: str, max_array: int | None
+    flat: dict[str, Column], name: str, value: Column, dtype: T.DataType, sep: str, max_array: int | None, maps: Mapping[str, Sequence[str]],
 ) -> None:
     if isinstance(dtype, T.ArrayType):
         if max_array is None:
@@ -37,24 +38,39 @@ def _flatten_into(
         longer = F.raise_error(F.lit(f"list {name} is longer than {max_array}")).cast(dtype)
         value = F.when(F.size(value) > max_array, longer).otherwise(value)
         for i in range(max_array):
-            _flatten_into(flat, f"{name}{sep}{i}", F.get(value, F.lit(i)), dtype.elementType, sep, max_array)
+            _flatten_into(flat, f"{name}{sep}{i}", F.get(value, F.lit(i)), dtype.elementType, sep, max_array, maps)
     elif isinstance(dtype, T.StructType):
         for f in dtype.fields:
-            _flatten_into(flat, f"{name}{sep}{f.name}", value.getField(f.name), f.dataType, sep, max_array)
+            _flatten_into(flat, f"{name}{sep}{f.name}", value.getField(f.name), f.dataType, sep, max_array, maps)
+    elif isinstance(dtype, T.MapType) and name in maps:
+        known = F.array(*[F.lit(k).cast(dtype.keyType) for k in maps[name]])
+        strange = F.size(F.array_except(F.map_keys(value), known)) > 0
+        failure = F.raise_error(F.concat(F.lit(f"map {name} has other keys: "), F.array_join(F.array_except(F.map_keys(value), known).cast("array<string>"), ", "))).cast(dtype)
+        value = F.when(strange, failure).otherwise(value)
+        for k in maps[name]:
+            _flatten_into(flat, f"{name}{sep}{k}", F.try_element_at(value, F.lit(k).cast(dtype.keyType)), dtype.valueType, sep, max_array, maps)
     else:
         flat[name] = value
 
 
-def flatten(df: DataFrame, sep: str = ".", max_array: int | None = None) -> DataFrame:
+def flatten(df: DataFrame, sep: str = ".", max_array: int | None = None, maps: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """All nested leaves as top-level columns whose names are joined by ``sep``.
 
-    Column counts are fixed by the schema, so arrays need an upper length, and a longer one fails the job; use
-    ``flatten_array`` for arrays of any length.
+    Column counts are fixed by the plan, so arrays need an upper length and maps their keys (see ``known_keys``); a longer
+    list or another key fails the job. Use ``flatten_array`` for arrays of any length.
     """
-    flat = flat_columns(df.schema, sep, max_array)
+    flat = flat_columns(df.schema, sep, max_array, maps=maps)
     return df.select([c.alias(n) for n, c in flat.items()])
 
 
+def known_keys(df: DataFrame, name: str, most: int = 1000) -> list[str]:
+    """The keys a map column has anywhere, sorted; more than ``most`` are refused."""
+    keys = df.select(F.explode(F.map_keys(column((name,))).cast("array<string>")).alias("k")).distinct().limit(most + 1).collect()
+    if len(keys) > most:
+        raise ValueError(f"map {name!r} has more than {most} keys")
+    return sorted(r["k"] for r in keys)
+
+
 def flatten_array(
     df: DataFrame, name: str, ids: Sequence[str], sep: str = ".", key: str = "key", value: str = "value"
 ) -> DataFrame:

@@ -83,3 +83,22 @@ def topic_messages(spark, sf):
     writer = received.writeStream.format("parquet").option("checkpointLocation", f"{place}/received")
     writer.trigger(availableNow=True).start(f"{place}/table").awaitTermination()
     return spark.read.parquet(f"{place}/table")
+
+
+@query("flow_task_states", """
+SELECT name, CASE WHEN n = 0 THEN 'skipped' ELSE 'finished' END AS state, n FROM (
+  SELECT 'large' AS name, COUNT(*) FILTER (value > 200) AS n FROM events
+  UNION ALL SELECT 'none', COUNT(*) FILTER (event_type = 'no such type') FROM events)
+""")
+def flow_task_states(spark, sf):
+    """States of a flow's tasks: one without records is skipped and sends nothing."""
+    place = workspace(spark, "states")
+    events = table(spark, sf, "events")
+    tasks = [
+        Task("large", events.where("value > 200"), metrics="value", attributes=["event_id"], ts="ts"),
+        Task("none", events.where("event_type = 'no such type'"), metrics="value", attributes=["event_id"], ts="ts"),
+    ]
+    states = Flow(tasks, [], [Output(table_to(f"{place}/sent"))]).run(spark)
+    sent = spark.read.parquet(f"{place}/sent").groupBy("task_name").agg(F.count("*").alias("n"))
+    told = spark.createDataFrame(sorted(states.items()), "name string, state string")
+    return told.join(sent, told.name == sent.task_name, "left").select("name", "state", F.coalesce("n", F.lit(0)).alias("n"))

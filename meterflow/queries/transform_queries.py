@@ -7,13 +7,13 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from meterflow.operators.filters import simple_filter
-from meterflow.operators.flatten import flatten, set_field
+from meterflow.operators.flatten import flatten, known_keys, set_field
 from meterflow.operators.lookup import enrich, missing_keys
 from meterflow.operators.mapping import map_values
 from meterflow.operators.normalize import to_metrics
 from meterflow.operators.overlay import overlay
 from meterflow.operators.routing import Route, route, unmatched_routes
-from meterflow.operators.rows import transform_batches, transform_frame, transform_rows
+from meterflow.operators.rows import transform_batches, transform_frame, transform_groups, transform_rows
 from meterflow.operators.versions import enrich_as_of
 from meterflow.plans.flow import Transform, apply_by_priority
 from meterflow.plans.templates import repeat_query
@@ -424,3 +424,31 @@ def lookup_with_map_attribute(spark, sf):
     frame = set_field(frame, "user", F.col("attributes.tags")["user"].cast("bigint"))
     found = enrich(frame, table(spark, sf, "customer").drop("c_nationkey", "c_acctbal"), "user", "c_custkey", salts=3)
     return found.select("attributes.event_id", "metric_field", "metric", F.col("attributes.tags")["kind"].alias("kind"), "attributes.c_name", "attributes.c_mktsegment")
+
+
+@query("udf_frame_groups", """
+SELECT event_id, 'value' AS metric_field, CAST(row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS DOUBLE) AS metric, user_id
+FROM events QUALIFY metric <= 3
+""")
+def udf_frame_groups(spark, sf):
+    """Python over each user's frame: the three largest values by their ranks."""
+    frame = to_metrics(table(spark, sf, "events"), "events", "value", ["event_id", "user_id"])
+
+    def ranked(rows):
+        ids = rows["attributes"].map(lambda a: a["event_id"])
+        rows = rows.assign(_id=ids).sort_values(["metric", "_id"], ascending=[False, True]).head(3)
+        return rows.assign(metric=[float(k + 1) for k in range(len(rows))]).drop(columns="_id")
+
+    found = transform_groups(frame, [F.col("attributes.user_id")], ranked)
+    return found.select("attributes.event_id", "metric_field", "metric", "attributes.user_id")
+
+
+@query("flatten_maps", """
+SELECT event_id, event_type AS "tags.kind", CASE WHEN event_id % 2 = 0 THEN CAST(user_id AS VARCHAR) END AS "tags.user" FROM events
+""")
+def flatten_maps(spark, sf):
+    """Maps as columns of the keys they have."""
+    kind = F.create_map(F.lit("kind"), F.col("event_type"))
+    both = F.create_map(F.lit("kind"), F.col("event_type"), F.lit("user"), F.col("user_id").cast("string"))
+    rows = table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 2 == 0, both).otherwise(kind).alias("tags"))
+    return flatten(rows, maps={"tags": known_keys(rows, "tags")})

@@ -7,7 +7,7 @@ import pytest
 from __spark_entry__ import queries
 
 SF_DIR = "/root/testdata/sf0.001"
-PYTHON = {"udf_metric"}
+PYTHON = {"udf_metric", "udf_frame_groups"}
 STREAMS = {"stream_event_counts", "stream_flow", "topic_messages"}
 
 

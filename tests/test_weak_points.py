@@ -76,3 +76,38 @@ def test_top_buckets_need_no_single_task(spark):
         if name in queries():
             plan = plan_of(queries()[name](spark, SF))
             assert "Exchange SinglePartition" not in plan, name
+
+
+def test_attributes_are_checked_after_user_code(spark):
+    from meterflow.operators.normalize import to_metrics
+    from meterflow.operators.rows import transform_frame, transform_rows
+    frame = to_metrics(spark.createDataFrame([(1, "a")], "m int, t string"), "x", "m", ["t"])
+    for bad in ("CAST('x' AS BINARY)", "named_struct('a', array(CAST('x' AS BINARY)))", "map(array(1), 2)", "INTERVAL '1' DAY"):
+        with pytest.raises(ValueError):
+            transform_rows(frame, {"t": bad})
+    for field, bad in (("attributes", "'text'"), ("metric_field", "7")):
+        with pytest.raises(TypeError):
+            transform_frame(frame, lambda df, f=field, b=bad: df.withColumn(f, F.expr(b)))
+    assert transform_rows(frame, {"t": "map('a', array(1D))", "n": "named_struct('d', current_date())"}).count() == 1
+
+
+def test_python_over_frames_is_bounded(spark):
+    from meterflow.operators.rows import transform_groups
+    df = spark.createDataFrame([(i, i % 3 if i % 4 else None) for i in range(40)], "i long, k long")
+    got = transform_groups(df, ["k"], lambda rows: rows.assign(i=len(rows)).head(1))
+    assert sorted((r["i"], str(r["k"])) for r in got.collect()) == [(10, "0"), (10, "1"), (10, "2"), (10, "None")]
+    with pytest.raises(Exception, match="more than 9 rows"):
+        transform_groups(df, ["k"], lambda rows: rows, most=9).count()
+
+
+def test_maps_become_columns_of_known_keys(spark):
+    from meterflow.operators.flatten import flatten, known_keys
+    df = spark.sql("SELECT * FROM VALUES (1, map('a', named_struct('x', 1)), map(7, 2)), (2, map('b', named_struct('x', 3)), NULL), (3, NULL, map()) AS t(i, m, n)")
+    assert known_keys(df, "m") == ["a", "b"]
+    got = flatten(df, maps={"m": ["a", "b"], "n": ["7"]})
+    assert got.columns == ["i", "m.a.x", "m.b.x", "n.7"]
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1, None, 2), (2, None, 3, None), (3, None, None, None)]
+    with pytest.raises(Exception, match="other keys: b"):
+        flatten(df, maps={"m": ["a"]}).collect()
+    with pytest.raises(ValueError):
+        known_keys(df, "m", most=1)

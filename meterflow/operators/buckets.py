@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from meterflow.functions.paths import column, quote
 from meterflow.operators.filters import all_of
 from meterflow.operators.timeops import floor_time
+from meterflow.streaming.workspace import stored
 
 DOC_COUNT = "doc_count"
 # size parameter of quantile sketches; ranks are off by less than half a percent
@@ -168,16 +169,16 @@ def _outer_limits(levels: Sequence[Level]) -> dict[int, int]:
 def _limited(grouped: DataFrame, keys: Sequence[str], limits: Mapping[int, int], count: str, keep_null: bool = False) -> DataFrame:
     """The grouped rows of the largest buckets at each limited depth; equal counts are ordered by key.
 
-    Counts of outer buckets are sums of the groups below them. The outermost buckets are ranked as one row each, of which every
-    task passes on its first ``n``; their children only meet these few keys.
+    Counts of outer buckets are sums of the groups below them. For the outermost level the grouped rows are written below
+    the workspace when this is called, each outer bucket is ranked as one row, and the ``n`` keys become a condition: the
+    input is read once, and no task ranks the groups of all buckets.
     """
     for depth, n in sorted(limits.items()):
         key = F.col(keys[depth])
         grouped = grouped if keep_null else grouped.where(key.isNotNull())
         if not depth:
-            sums = grouped.where(key.isNotNull()).groupBy(key.alias("_top")).agg(F.sum(count).alias("_total"))
-            first = sums.orderBy(F.col("_total").desc(), F.col("_top").asc()).limit(n).select("_top")
-            grouped = grouped.join(first, key == F.col("_top"), "left_semi")
+            grouped = stored(grouped, "grouped")
+            grouped = grouped.where(_largest(grouped, keys[0], n, count))
             continue
         total = F.sum(count).over(Window.partitionBy(*keys[: depth + 1]))
         grouped = grouped.withColumn("_total", F.when(key.isNotNull(), total))
@@ -189,6 +190,15 @@ def _limited(grouped: DataFrame, keys: Sequence[str], limits: Mapping[int, int],
     return grouped
 
 
+def _largest(grouped: DataFrame, name: str, n: int, count: str) -> Column:
+    """Whether a row belongs to one of the ``n`` largest values of a key, which come to the driver."""
+    timed = isinstance(grouped.schema[name].dataType, (T.TimestampType, T.TimestampNTZType))
+    key = F.unix_micros(F.col(name).cast("timestamp")) if timed else F.col(name)
+    sums = grouped.where(F.col(name).isNotNull()).groupBy(key.alias("_top")).agg(F.sum(count).alias("_total"))
+    first = sums.orderBy(F.col("_total").desc(), F.col("_top").asc()).limit(n).select("_top").collect()
+    return key.isin([r["_top"] for r in first]) if first else F.lit(False)
+
+
 def _kept_empty(keyed: DataFrame, keys: Sequence[str], metrics: Mapping[str, Metric], limits: Mapping[int, int]) -> DataFrame:
     """Group once by the full key; a missing child stays where its bucket has no other."""
     keyed = keyed.where(F.col(keys[0]).isNotNull())

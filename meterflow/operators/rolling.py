@@ -23,28 +23,59 @@ def rolling(
 ) -> DataFrame:
     """Adds a column for each metric ``name: (function, column)`` over the rows of the series within ``[ts - frame, ts]``.
 
-    A series is cut into chunks of time (``chunk``, four frames by default and one at least); each chunk also reads a halo, the
-    rows up to one frame before it. So one huge series is many tasks, and a row is read twice at most. Rows at the same
-    time see each other. Rows without a time have null values; those without a series name are a series.
+    Time is cut into blocks one frame wide. A row's frame is the part of its own block up to it and the part of the block
+    before from ``ts - frame`` on; so each block is one task together with the block before it, and both parts are running
+    values in a sorted block, linear in its rows however many rows a frame holds. A row is read twice at most. ``chunk`` is
+    kept for callers; blocks are always one frame. Rows at the same time see each other. Rows without a time have null
+    values; those without a series name are a series.
     """
     length = micros(frame)
-    step = max(length, micros(chunk)) if chunk else 4 * length
+    width = max(length, 1)
     rows = df.select(F.struct(*[column((c,)) for c in df.columns]).alias("_row"), _micros(df, ts).alias("_at"), *[column((s,)).alias(f"_series_{i}") for i, s in enumerate(series)])
-    own = F.call_function("div", F.col("_at") - F.pmod("_at", F.lit(step)), F.lit(step))
-    # a row near the end of its chunk is in the halo of the next one
-    next_too = F.pmod("_at", F.lit(step)) >= step - length
-    chunks = F.when(next_too, F.array(own, own + 1)).otherwise(F.array(own))
-    timed = rows.where("_at IS NOT NULL").withColumn("_own", own).withColumn("_chunk", F.explode(chunks))
+    own = F.call_function("div", F.col("_at") - F.pmod("_at", F.lit(width)), F.lit(width))
+    # each block also goes to the task of the next one, where it is the block before
+    timed = rows.where("_at IS NOT NULL").withColumn("_own", own).withColumn("_chunk", F.explode(F.array(own, own + 1)))
     keys = [f"_series_{i}" for i in range(len(series))]
-    window = Window.partitionBy(*keys, "_chunk").orderBy("_at").rangeBetween(-length, 0)
-    values = {name: ROLLING[f](column(("_row", c))).over(window) for name, (f, c) in metrics.items()}
-    # the halo goes after its rows were seen
-    out = timed.withColumns(values).where(F.col("_chunk") == F.col("_own")).select("_row.*", *[F.col(quote(m)) for m in metrics])
+    before = F.col("_own") < F.col("_chunk")
+    # rows of the block from the start to each row, peers included
+    ahead = Window.partitionBy(*keys, "_chunk").orderBy("_at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # rows of the block before from ``ts - frame`` on: its rows and the starts of frames by time, falling, its rows first
+    start = F.when(before, F.col("_at")).otherwise(F.col("_at") - length)
+    behind = Window.partitionBy(*keys, "_chunk").orderBy(start.desc(), F.when(before, 0).otherwise(1)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = {}
+    for name, (f, c) in metrics.items():
+        value = column(("_row", c))
+        funcs = ("sum", "count") if f == "avg" else (f,)
+        for g in funcs:
+            parts[f"_{name}_{g}_own"] = ROLLING[g](F.when(~before, value)).over(ahead)
+            parts[f"_{name}_{g}_before"] = ROLLING[g](F.when(before, value)).over(behind)
+    found = timed.withColumns(parts).where(~before)
+    sums = {f.name: f.dataType for f in found.schema.fields}
+    out = found.withColumns({name: _joined(f, name, sums) for name, (f, _) in metrics.items()}).select("_row.*", *[F.col(quote(m)) for m in metrics])
     kinds = {f.name: f.dataType for f in out.schema.fields}
     untimed = rows.where("_at IS NULL").select("_row.*", *[F.lit(None).cast(kinds[m]).alias(m) for m in metrics])
     return out.unionByName(untimed)
 
 
+def _joined(f: str, name: str, kinds) -> Column:
+    """A metric over a frame from its values over the two parts."""
+    def both(g):
+        return F.col(f"_{name}_{g}_own"), F.col(f"_{name}_{g}_before")
+    if f == "count":
+        a, b = both("count")
+        return a + b
+    if f == "min":
+        return F.least(*both("min"))
+    if f == "max":
+        return F.greatest(*both("max"))
+    a, b = both("sum")
+    total = F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+    if f == "sum":
+        return total.cast(kinds[f"_{name}_sum_own"])
+    n, m = both("count")
+    return total.cast("double") / (n + m)
+
+
 def fill_gaps(buckets: DataFrame, parents: Sequence[str], key: str, interval: str) -> DataFrame:
     """The buckets of a date histogram of a fixed duration, and empty ones between the first and the last of each parent.
 

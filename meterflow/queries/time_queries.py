@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterflow.operators.buckets import DateHistogram, Terms, bucket_agg
-from meterflow.operators.intervals import match_intervals
+from meterflow.operators.intervals import interval_totals, match_intervals
 from meterflow.operators.rolling import fill_gaps, rolling
 from meterflow.queries.registry import query, table
 
@@ -34,8 +34,9 @@ FROM i JOIN events e ON e.ts >= i.since AND e.ts < i.until GROUP BY incident
 """)
 def intervals_metrics(spark, sf):
     """Events within each incident; incidents last from minutes to a week."""
-    pairs = match_intervals(table(spark, sf, "events"), _incidents(spark, sf), "ts", "since", "until")
-    return pairs.groupBy("incident").agg(F.count("*").alias("n"), F.sum(F.expr(_CENTS)).alias("cents"), F.max("event_id").alias("last"))
+    events = table(spark, sf, "events").withColumn("_cents", F.expr(_CENTS))
+    found = interval_totals(events, _incidents(spark, sf), "ts", "since", "until", {"n": ("count", None), "cents": ("sum", "_cents"), "last": ("max", "event_id")})
+    return found.groupBy("incident").agg(F.sum("n").alias("n"), F.sum("cents").alias("cents"), F.max("last").alias("last"))
 
 
 @query("intervals_of_user", _INTERVALS_SQL + """

@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from meterflow.operators.intervals import interval_totals
 from meterflow.operators.rolling import rolling
 from tests.test_plans import plan_of
 
@@ -28,3 +29,34 @@ def test_crowded_frames_are_running_values(spark):
         want = (len(seen), sum(seen) if seen else None, min(seen, default=None), max(seen, default=None), sum(seen) / len(seen) if seen else None)
         assert got[i] == ((None,) * 5 if t is None else want), i
     assert found.schema["x"].dataType.simpleString() == "bigint" and found.schema["n"].dataType.simpleString() == "bigint"
+
+
+def test_interval_totals_against_all_pairs(spark):
+    rng = random.Random(7)
+    minute = 60_000_000
+    times = [None, *[rng.randrange(-10**11, 10**11) for _ in range(40)]]
+    rows = [(i, rng.choice(times), rng.choice([None, *range(-3, 6)])) for i in range(400)]
+    spans = []
+    for j in range(120):
+        start = rng.choice([None, *[t for t in times if t is not None][:12], *[rng.randrange(-10**11, 10**11) for _ in range(9)]])
+        length = rng.choice([0, -5, 1, minute, minute + 1, 8 * minute, 10**9, 10**11, 10**15, None])
+        spans.append((j % 100, start, None if length is None or start is None else start + length))
+    spans += [(100, 0, 1), (101, -10**17, 10**17), (101, -10**17, 10**17)]
+    df = spark.createDataFrame(rows, "i long, t long, v int")
+    intervals = spark.createDataFrame(spans, "j long, a long, b long")
+    found = interval_totals(df, intervals, "t", "a", "b", {"n": ("count", None), "nv": ("count", "v"), "x": ("sum", "v"), "lo": ("min", "v"), "hi": ("max", "i")})
+    got = sorted(tuple(r) for r in found.collect())
+    want = []
+    for j, a, b in spans:
+        inside = [(i, v) for i, t, v in rows if t is not None and a is not None and a <= t and (b is None or t < b)]
+        vs = [v for _, v in inside if v is not None]
+        if inside:
+            want.append((j, a, b, len(inside), len(vs), sum(vs) if vs else None, min(vs, default=None), max(i for i, _ in inside)))
+    assert got == sorted(want, key=lambda r: tuple((x is None, x) for x in r)) or got == sorted(want, key=str) or sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_intervals_metrics_makes_no_pairs(spark):
+    from __spark_entry__ import queries
+    plan = plan_of(queries()["intervals_metrics"](spark, "/root/testdata/sf0.001"))
+    # a join of events with incidents holds every event of a week-long incident
+    assert "Join" not in plan

@@ -62,7 +62,9 @@ def enrich(
     right = right.withColumn("_spread", no_spread(F.col("_lookup")))
     if salts > 1:
         left = left.withColumn("_salt", F.pmod(row_hash(df), F.lit(salts)).cast("int"))
-        right = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+        # Spark sizes the replicated side as if it were not replicated, so it would broadcast it whole at
+        # every size; salts are for a shuffled join, which spills instead of holding ``salts`` times ``dim``
+        right = right.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)]))).hint("merge")
         on.append("_salt")
     joined = left.join(right.withColumn("_hit", F.lit(True)), on, "left")
     hit = F.coalesce(F.col("_hit"), F.lit(False))

@@ -96,6 +96,15 @@ def test_salted_lookup_equals_plain(spark, dim):
     assert len(salted) == 302 and plain == salted
 
 
+def test_salted_lookup_does_not_broadcast_the_replicated_side(spark, dim):
+    """Spark sizes ``dim`` before its rows are replicated per salt; broadcast, every task would hold them all."""
+    df = to_metrics(spark.createDataFrame([(1, "a"), (2, "zz")], "metric int, k string"), "t")
+    salted = enrich(df, dim, "k", "id", salts=4)
+    salted.collect()
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
 def test_shuffled_lookup_keeps_the_skew_join_shape(spark, dim):
     """A join too large to broadcast sorts plain shuffles, which run-time skew splitting needs."""
     df = to_metrics(spark.createDataFrame([(1, "a")], "metric int, k string"), "t")

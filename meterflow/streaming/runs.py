@@ -34,7 +34,10 @@ class RunTracker(StatefulProcessor):
         self.state = handle.getValueState("run", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        started, finished, result, told = self.state.get() if self.state.exists() else (None, None, None, False)
+        # every state or timer call is a round trip to the JVM: get() tells absence too, and the one timer of a run
+        # follows from its stored state, so it need not be listed
+        before = self.state.get()
+        started, finished, result, told = before if before is not None else (None, None, None, False)
         for row in rows:
             if row.kind == "start":
                 started = row.at if started is None else min(started, row.at)
@@ -43,8 +46,10 @@ class RunTracker(StatefulProcessor):
         if started is not None and finished is not None and not told:
             told = True
             yield self._over(key[0], started, finished, result)
-        self.state.update((started, finished, result, told))
-        self._wait(started if started is not None else finished)
+        after = (started, finished, result, told)
+        if before is None or tuple(before) != after:
+            self.state.update(after)
+        self._wait(started if started is not None else finished, None if before is None else self._since(before))
 
     def _over(self, run: str, started: int, finished: int | None, result: str | None) -> Row:
         end = started + self.patience
@@ -52,16 +57,26 @@ class RunTracker(StatefulProcessor):
             finished, result = end, LOST
         return Row(run=run, started_at=started, finished_at=finished, result=result)
 
-    def _wait(self, since: int) -> None:
-        due = (since + self.patience) // 1000 + 1
-        for known in list(self.handle.listTimers()):
-            if known != due:
-                self.handle.deleteTimer(known)
+    @staticmethod
+    def _since(state) -> int:
+        return state[0] if state[0] is not None else state[1]
+
+    def _due(self, since: int) -> int:
+        return (since + self.patience) // 1000 + 1
+
+    def _wait(self, since: int, known: int | None) -> None:
+        """The timer at ``since`` plus patience, in place of the one at ``known``, the time the stored state waited from."""
+        due = self._due(since)
+        if known is not None and self._due(known) == due:
+            return
+        if known is not None:
+            self.handle.deleteTimer(self._due(known))
         self.handle.registerTimer(due)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.state.exists():
-            started, finished, result, told = self.state.get()
+        value = self.state.get()
+        if value is not None:
+            started, finished, result, told = value
             # an end without a start tells nothing
             if started is not None and not told:
                 yield self._over(key[0], started, finished, result)

@@ -12,7 +12,7 @@ from meterflow.operators.bucket_state import bucket_state, merge_state, read_sta
 from meterflow.operators.buckets import DateHistogram, Filters, Histogram, Terms, bucket_agg
 from meterflow.streaming.batch_log import BatchLog
 from meterflow.streaming.run import total_counts
-from meterflow.streaming.runs import pending_runs, track_runs
+from meterflow.streaming.runs import RunTracker, pending_runs, track_runs
 
 SF = "/root/testdata/sf0.001"
 
@@ -153,3 +153,61 @@ def test_states_that_cannot_merge_are_refused(spark):
     empty = bucket_state(df.limit(0), [Terms("id", "id")], {"n": ("sum", "id")})
     assert read_state(empty, [Terms("id", "id")], {"n": ("sum", "id")}).count() == 0
     assert read_state(bucket_state(df, [DateHistogram("d", "timestamp_seconds(id)", "1d")]), [DateHistogram("d", "timestamp_seconds(id)", "1d")]).first()["doc_count"] == 3
+
+
+class _Calls:
+    """A state and timer handle that counts the calls, each of which is a round trip to the JVM."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = [], None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        self.calls.append("exists")
+        return self.value is not None
+
+    def get(self):
+        self.calls.append("get")
+        return self.value
+
+    def update(self, value):
+        self.calls.append("update")
+        self.value = tuple(value)
+
+    def clear(self):
+        self.calls.append("clear")
+        self.value = None
+
+    def listTimers(self):
+        self.calls.append("listTimers")
+        return iter(sorted(self.timers))
+
+    def registerTimer(self, at):
+        self.calls.append("registerTimer")
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls.append("deleteTimer")
+        self.timers.discard(at)
+
+
+def test_run_tracker_calls_the_state_few_times_per_run():
+    from pyspark.sql import Row
+
+    handle, tracker = _Calls(), RunTracker(300_000_000)
+    tracker.init(handle)
+    told = list(tracker.handleInputRows(("7",), iter([Row(kind="start", at=10**12, result=None), Row(kind="end", at=10**12 + 5, result="okay")]), None))
+    assert [r.result for r in told] == ["okay"] and "listTimers" not in handle.calls and len(handle.calls) <= 3
+    assert handle.timers == {(10**12 + 300_000_000) // 1000 + 1}
+    # a repeated end changes nothing: the state is read, and neither it nor the timer is written
+    handle.calls.clear()
+    assert not list(tracker.handleInputRows(("7",), iter([Row(kind="end", at=10**12 + 9, result="failed")]), None))
+    assert handle.calls == ["get"]
+    # an end read before its start waits from the end, then from the start
+    handle, tracker = _Calls(), RunTracker(300_000_000)
+    tracker.init(handle)
+    list(tracker.handleInputRows(("8",), iter([Row(kind="end", at=2 * 10**12, result="okay")]), None))
+    list(tracker.handleInputRows(("8",), iter([Row(kind="start", at=2 * 10**12 - 7_000_000, result=None)]), None))
+    assert handle.timers == {(2 * 10**12 - 7_000_000 + 300_000_000) // 1000 + 1}

@@ -106,6 +106,9 @@ class Symbols:
         self.cls[order] = np.minimum((share / share[-1] * CLASSES).astype(np.int64), CLASSES - 1)
         _, self.cls = np.unique(self.cls, return_inverse=True)
         self.members = [np.flatnonzero(self.cls == c) for c in range(self.cls.max() + 1)]
+        # symbols by class: the members of class k are ``by_class[bounds[k]: bounds[k + 1]]``
+        self.by_class = np.concatenate(self.members)
+        self.bounds = np.concatenate([[0], np.cumsum([len(m) for m in self.members])])
         self.place = np.empty(self.size, np.int64)
         for m in self.members:
             self.place[m] = np.arange(len(m))
@@ -132,8 +135,13 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _step(w: dict, x: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
     """One step of the unit for symbols ``x``: new state, and what backpropagation needs."""
+    return _unit(w["x"][x] + w["b"], w["u"], state)
+
+
+def _unit(a: np.ndarray, u: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A step from the input part ``a`` of the symbols read, taken for all steps of a window at once."""
     h = STATE
-    a, r = w["x"][x] + w["b"], state @ w["u"]
+    r = state @ u
     gates = _sigmoid(a[:, : 2 * h] + r[:, : 2 * h])
     z, reset = gates[:, :h], gates[:, h:]
     cand = np.tanh(a[:, 2 * h:] + reset * r[:, 2 * h:])
@@ -166,6 +174,18 @@ def log_probabilities(w: dict, s: Symbols, states: np.ndarray, y: np.ndarray) ->
     return out
 
 
+def _softmax_loss(x: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, float]:
+    """Gradient of the summed negative log softmax of one column of each row, and that sum; overwrites ``x``."""
+    picked = np.arange(len(at))
+    x -= x.max(1, keepdims=True)
+    chosen = x[picked, at]
+    np.exp(x, out=x)
+    total = x.sum(1)
+    x /= total[:, None]
+    x[picked, at] -= 1
+    return x, float((np.log(total) - chosen).sum())
+
+
 def window_gradients(w: dict, s: Symbols, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, state: np.ndarray, live: np.ndarray):
     """Gradients of the summed negative log-likelihood of a window, its loss and its last state.
 
@@ -175,49 +195,53 @@ def window_gradients(w: dict, s: Symbols, x: np.ndarray, y: np.ndarray, fresh: n
     """
     h, (steps, lanes) = STATE, x.shape
     kept, hs = [], np.empty((steps, lanes, h), np.float32)
+    befores = np.empty((steps, lanes, h), np.float32)
+    a, u = w["x"][x] + w["b"], w["u"]
     for t in range(steps):
-        before = np.where(fresh[t][:, None], 0, state).astype(np.float32)
-        state, z, r, c, rc = _step(w, x[t], before)
-        kept.append((before, z, r, c, rc))
+        befores[t] = np.where(fresh[t][:, None], 0, state)
+        state, z, r, c, rc = _unit(a[t], u, befores[t])
+        kept.append((z, r, c, rc))
         hs[t] = state
-    g = {k: np.zeros_like(v) for k, v in w.items() if k != "x"}
+    g = {k: np.zeros_like(v) for k, v in w.items() if k not in ("x", "o", "ob")}
     rows = np.flatnonzero(live.ravel())
     flat, want = hs.reshape(-1, h)[rows], y.ravel()[rows]
     cls = s.cls[want]
-    p = _log_softmax(flat @ w["c"].T + w["cb"])
-    loss = -p[np.arange(len(want)), cls].sum()
-    d = np.exp(p)
-    d[np.arange(len(want)), cls] -= 1
+    d, loss = _softmax_loss(flat @ w["c"].T + w["cb"], cls)
     g["c"], g["cb"] = d.T @ flat, d.sum(0)
     dflat = d @ w["c"]
+    # the output weights of each class are one range of these, and so are their gradients
+    o, ob = w["o"][s.by_class], w["ob"][s.by_class]
+    go, gob = np.zeros_like(o), np.zeros_like(ob)
     order = np.argsort(cls, kind="stable")
     bounds = np.searchsorted(cls[order], np.arange(len(s.members) + 1))
-    for k, m in enumerate(s.members):
-        part = order[bounds[k]: bounds[k + 1]]
-        if not len(part) or len(m) == 1:
+    for k in range(len(s.members)):
+        part, lo, hi = order[bounds[k]: bounds[k + 1]], s.bounds[k], s.bounds[k + 1]
+        if not len(part) or hi - lo == 1:
             continue
-        p = _log_softmax(flat[part] @ w["o"][m].T + w["ob"][m])
-        at = s.place[want[part]]
-        loss -= p[np.arange(len(part)), at].sum()
-        d = np.exp(p)
-        d[np.arange(len(part)), at] -= 1
-        g["o"][m], g["ob"][m] = d.T @ flat[part], d.sum(0)
-        dflat[part] += d @ w["o"][m]
+        mine = flat[part]
+        d, more = _softmax_loss(mine @ o[lo:hi].T + ob[lo:hi], s.place[want[part]])
+        loss += more
+        go[lo:hi], gob[lo:hi] = d.T @ mine, d.sum(0)
+        dflat[part] += d @ o[lo:hi]
+    g["o"], g["ob"] = np.empty_like(o), np.empty_like(ob)
+    g["o"][s.by_class], g["ob"][s.by_class] = go, gob
     dh_out = np.zeros((steps * lanes, h), np.float32)
     dh_out[rows] = dflat
     dh_out = dh_out.reshape(steps, lanes, h)
     dh = np.zeros((lanes, h), np.float32)
     dx = np.empty((steps, lanes, 3 * h), np.float32)
+    du = np.empty((steps, lanes, 3 * h), u.dtype)
+    ut = np.ascontiguousarray(u.T)
     for t in range(steps - 1, -1, -1):
-        before, z, r, c, rc = kept[t]
+        z, r, c, rc = kept[t]
         dh = dh + dh_out[t]
         da_c = dh * (1 - z) * (1 - c * c)
-        da_z = dh * (before - c) * z * (1 - z)
-        da_r = da_c * rc * r * (1 - r)
-        dx[t] = np.concatenate([da_z, da_r, da_c], 1)
-        du = np.concatenate([da_z, da_r, da_c * r], 1)
-        g["u"] += before.T @ du
-        dh = np.where(fresh[t][:, None], 0, dh * z + du @ w["u"].T).astype(np.float32)
+        dx[t, :, :h] = du[t, :, :h] = dh * (befores[t] - c) * z * (1 - z)
+        dx[t, :, h: 2 * h] = du[t, :, h: 2 * h] = da_c * rc * r * (1 - r)
+        dx[t, :, 2 * h:] = da_c
+        du[t, :, 2 * h:] = da_c * r
+        dh = np.where(fresh[t][:, None], 0, dh * z + du[t] @ ut).astype(np.float32)
+    g["u"] = befores.reshape(-1, h).T @ du.reshape(-1, 3 * h)
     g["b"] = dx.sum((0, 1))
     order = np.argsort(x.ravel(), kind="stable")
     seen, first = np.unique(x.ravel()[order], return_index=True)
@@ -266,7 +290,12 @@ class Trainer:
         count = int(live.sum())
         if not count:
             return False
-        g, _, self.state = window_gradients(self.w, self.s, x, y, fresh, self.state, live)
+        # a lane without a document in this window adds nothing, and its next document starts afresh
+        busy = live.any(0)
+        if busy.all():
+            g, _, self.state = window_gradients(self.w, self.s, x, y, fresh, self.state, live)
+        else:
+            g, _, self.state[busy] = window_gradients(self.w, self.s, x[:, busy], y[:, busy], fresh[:, busy], self.state[busy], live[:, busy])
         self.tokens += count
         seen, rows = g.pop("x")
         d = np.clip(rows / TRAIN_LANES, -1, 1)

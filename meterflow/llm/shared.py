@@ -41,10 +41,10 @@ def fresh_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The frame written to the shared folder and read again: cuts lineage and survives lost executors."""
+def stored(df: DataFrame, name: str, **options: int) -> DataFrame:
+    """The frame written to the shared folder, with the writer's ``options``, and read again: cuts lineage and survives lost executors."""
     path = fresh_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

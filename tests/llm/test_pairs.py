@@ -4,6 +4,7 @@ import math
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -65,6 +66,61 @@ def test_vectors_edges(spark):
     assert near_vectors.near_vectors(df.limit(0)).count() == 0
 
 
+def test_vectors_are_stored_and_shuffled_once_however_many_tiles(spark, monkeypatch):
+    frames, rng = {}, np.random.default_rng(3)
+
+    def kept(df, name, plain=near_vectors.stored, **options):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        frames[name] = plain(df, name, **options), plan
+        return frames[name][0]
+
+    for name, value in (("TILE", 16), ("EDGES", 20), ("stored", kept)):
+        monkeypatch.setattr(near_vectors, name, value)
+    n = 2000
+    base = rng.normal(size=(n, 64))
+    base[600:900] = base[0] + rng.normal(0, 0.12, (300, 64))
+    base[900:1000] = base[:100] + rng.normal(0, 0.3, (100, 64))
+    x = base.astype(np.float32)
+    u = x / np.sqrt((x.astype(float) ** 2).sum(1))[:, None]
+    pairs = [(int(a), int(b)) for a, b in zip(*np.nonzero(u @ u.T >= 0.95), strict=True) if a < b]
+    rows = [(k, [float(c) for c in v]) for k, v in enumerate(x)]
+    # the same directions in fewer dimensions link among themselves only
+    short = x[:40, :3].astype(float) / np.sqrt((x[:40, :3].astype(float) ** 2).sum(1))[:, None]
+    pairs += [(5000 + int(a), 5000 + int(b)) for a, b in zip(*np.nonzero(short @ short.T >= 0.95), strict=True) if a < b]
+    rows += [(5000 + k, [float(c) for c in v[:3]]) for k, v in enumerate(x[:40])]
+    links, low = linked([i for i, _ in rows], pairs)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert result(near_vectors.near_vectors(df), "vec_id") == {i: (links[i], low[i], low[i] == i) for i in links}
+    # pairs of tiles read the stored tiles, no tile is sent once per tile it meets; units and tiles hold floats
+    assert "Exchange" not in frames["links"][1] and frames["tiles"][0].count() >= n / 16
+    size = sum(len(r[k]) for name, k in (("units", "_data"), ("tiles", "data")) for r in frames[name][0].select(k).collect())
+    assert size <= 2 * (n * 64 + 40 * 3) * 4 and len(frames) == 3
+
+
+def test_tiles_are_bounded_in_bytes_and_numbered_once(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "TILE_BYTES", 64)
+    tables = [pa.table({"_dim": pa.array([d] * 5, pa.int32()), "rep": pa.array(range(5), pa.int64()), "size": pa.array([1] * 5, pa.int64()),
+                        "_class": pa.array([bytes(16)] * 5), "_data": pa.array([bytes(4 * d)] * 5), "_part": pa.array([3] * 5, pa.int64())})
+              for d in (2, 4, 8, 40)]
+    tiles = [b.to_pylist()[0] for b in near_vectors._packed(3)(b for t in tables for b in t.to_batches())]
+    assert len({t["no"] for t in tiles}) == len(tiles) and all(t["no"] >> 32 == 3 for t in tiles)
+    assert all(len(t["ids"]) // 8 <= 3 and (len(t["data"]) <= 64 or len(t["ids"]) == 8) for t in tiles)
+    assert sorted((t["dim"], len(t["data"]) // t["dim"] // 4) for t in tiles) == sorted(
+        [(2, 3), (2, 2), (4, 3), (4, 2), (8, 2), (8, 2), (8, 1), *[(40, 1)] * 5])
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 70), st.floats(0.01, 0.99))
+def test_links_of_tiles_of_uneven_vectors(seed, d, threshold):
+    rng = np.random.default_rng(seed)
+    x, y = rng.normal(size=(30, d)), rng.normal(size=(20, d))
+    x[:10] = y[:10] * rng.uniform(0.1, 5, (10, 1)) + rng.normal(0, 0.2, (10, d))
+    x[10:15], y[10:15] = np.eye(d)[np.arange(5) % d], -np.eye(d)[np.arange(5) % d]
+    x, y = near_vectors.units(x), near_vectors.units(y)
+    found = {(int(a), int(b)) for i, j in near_vectors.tile_links(x, y, False, threshold) for a, b in zip(i, j, strict=True)}
+    assert found == {(a, b) for a in range(30) for b in range(20) if (x[a] * y[b]).sum() >= threshold}
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.integers(0, 10_000), st.integers(2, 70))
 def test_quantisation_bound_holds(seed, d):

@@ -5,14 +5,18 @@ import itertools
 import random
 from functools import partial
 
+import pandas as pd
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from meterflow.operators.bucket_state import bucket_state, merge_state, read_state
 from meterflow.operators.buckets import DateHistogram, Filters, Histogram, Terms, bucket_agg
 from meterflow.streaming.batch_log import BatchLog
 from meterflow.streaming.run import total_counts
-from meterflow.streaming.runs import RunTracker, pending_runs, track_runs
+from meterflow.streaming.runs import RunGroups, Runs, RunTracker, pending_runs, track_runs
 
 SF = "/root/testdata/sf0.001"
 
@@ -211,3 +215,89 @@ def test_run_tracker_calls_the_state_few_times_per_run():
     list(tracker.handleInputRows(("8",), iter([Row(kind="end", at=2 * 10**12, result="okay")]), None))
     list(tracker.handleInputRows(("8",), iter([Row(kind="start", at=2 * 10**12 - 7_000_000, result=None)]), None))
     assert handle.timers == {(2 * 10**12 - 7_000_000 + 300_000_000) // 1000 + 1}
+
+
+class _Timers:
+    def __init__(self, watermark):
+        self.watermark = watermark
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+    def getExpiryTimeInMs(self):
+        return self.watermark
+
+
+def _batch(processor, handle, key, rows, watermark):
+    """What a processor tells of one batch: the rows first, then the timers that are due."""
+    told = list(processor.handleInputRows(key, iter(rows), _Timers(watermark))) if rows else []
+    for due in sorted(t for t in handle.timers if t <= watermark):
+        told += processor.handleExpiredTimer(key, _Timers(watermark), _Timers(due))
+        handle.timers.discard(due)
+    return told
+
+
+_PATIENCE = 3_000
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.lists(st.tuples(
+    st.sampled_from("abcde"), st.booleans(), st.integers(0, 12_000), st.sampled_from([None, "", "okay", "failed"])), max_size=12), max_size=6))
+def test_groups_of_runs_tell_what_single_runs_tell(batches):
+    handle, groups, singles = _Calls(), RunGroups(_PATIENCE), {}
+    groups.init(handle)
+    watermark = 0
+    for messages in batches:
+        expected, frames = [], []
+        for k in range(0, len(messages), 5):  # a group's rows come in several frames
+            part = messages[k:k + 5]
+            frames.append(pd.DataFrame({"run": [m[0] for m in part], "starts": [m[1] for m in part], "at": [m[2] for m in part],
+                                        "result": pd.Series([None if m[1] else m[3] for m in part], dtype=object)}))
+        for run in "abcde":
+            if run not in singles:
+                singles[run] = _Calls(), RunTracker(_PATIENCE)
+                singles[run][1].init(singles[run][0])
+            rows = [Row(kind="start" if m[1] else "end", at=m[2], result=None if m[1] else m[3]) for m in messages if m[0] == run]
+            expected += [tuple(r[c] for c in ("run", "started_at", "finished_at", "result")) for r in _batch(singles[run][1], singles[run][0], (run,), rows, watermark)]
+        told = _batch(groups, handle, (0,), frames, watermark)
+        assert sorted(map(repr, expected)) == sorted(repr((r.run, int(r.started_at), int(r.finished_at), r.result)) for part in told for r in part.itertuples())
+        kept = Runs(handle.value[0]) if handle.value else Runs()
+        held = {n: tuple(s[0].value) for n, s in singles.items() if s[0].value}
+        assert {n: (s, f, r, bool(t)) for n, s, f, r, t in zip(kept.names.to_pylist(), kept.started, kept.finished, kept.results, kept.told, strict=True)} == {
+            n: (2**63 - 1 if s is None else s, 2**63 - 1 if f is None else f, r, t) for n, (s, f, r, t) in held.items()}
+        # one timer for the group, the earliest of its runs
+        due = [t for s, _ in singles.values() for t in s.timers]
+        assert handle.timers == ({min(due)} if due else set())
+        watermark = max([watermark, *(m[2] // 1000 - 4 for m in messages)])
+
+
+def test_a_group_of_runs_costs_as_few_calls_as_one_run():
+    handle, groups = _Calls(), RunGroups(300_000_000)
+    groups.init(handle)
+    frame = pd.DataFrame({"run": [str(k // 2) for k in range(10_000)], "starts": [k % 2 == 0 for k in range(10_000)],
+                          "at": [10**12 + k for k in range(10_000)], "result": pd.Series([None, "okay"] * 5_000, dtype=object)})
+    assert sum(len(t) for t in groups.handleInputRows((0,), iter([frame]), None)) == 5_000 and len(handle.calls) <= 3
+    handle.calls.clear()
+    # repeated messages change nothing: the state is read, and neither it nor the timer is written
+    assert not list(groups.handleInputRows((0,), iter([frame]), None)) and handle.calls == ["get"]
+    due = handle.timers.pop()
+    handle.calls.clear()
+    assert not list(groups.handleExpiredTimer((0,), _Timers(due + 10**6), _Timers(due))) and handle.calls == ["get", "clear"]
+
+
+@pytest.mark.parametrize("groups", [0, 3])
+def test_state_has_a_row_for_each_group_of_runs(spark, tmp_path, groups):
+    schema, n = "run string, kind string, ts timestamp, result string", 400
+    first = [(f"r{k}", "start", at(k % 7), None) for k in range(n)]
+    second = [(f"r{k}", "end", at(k % 7 + 1), "okay") for k in range(0, n, 2)]
+    for part in (first, second):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    runs = track_runs(stream, "20m", "1h", groups=groups)
+    runs.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start(f"{tmp_path}/out").awaitTermination()
+    got = sorted((r["run"], r["started_at"], r["finished_at"], r["result"]) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == sorted((f"r{k}", at(k % 7), at(k % 7 + 1), "okay") for k in range(0, n, 2))
+    pending = sorted(tuple(r) for r in pending_runs(spark, f"{tmp_path}/c", groups).collect())
+    assert pending == sorted((f"r{k}", at(k % 7)) for k in range(1, n, 2))
+    state = spark.read.format("statestore").option("path", f"{tmp_path}/c").option("stateVarName", "runs" if groups else "run").load()
+    assert state.count() == (groups or n)
